@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bloomline.llm.common import table
+from bloomline.llm.common import scratch_path, table
 
 
 def tokenizer_path() -> str:
@@ -26,12 +26,41 @@ def pack_digests(pieces: DataFrame) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = table(spark, sf_dir, "labels").where(quality.remainder("doc_id", 4) != 2)
+    scored = quality.score(docs, quality.train(docs, learn))
+    return scored.select(
+        "doc_id",
+        F.coalesce(quality.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_LEVEL).cast("int").alias("predicted"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bloomline.llm.bpe import bpe_digests
 
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm import langid, quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(quality.remainder("doc_id", 3) == 1, F.lit(False))
+    predicted = langid.predict(docs.select("doc_id", "text"), langid.train(docs.where(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm.jaccard import jaccard_groups
+
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bloomline.llm.chat import format_chats, read_chats
 
@@ -90,10 +119,42 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from d window same as (partition by body)
 """
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm.warc import read_warc, write_warc
+
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    records = read_warc(spark, path, with_payload=False).where("reason is null")
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+OP10_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+d as (select page_id, octet_length(payload) as payload_bytes, sha256(payload) as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest) as first_id from d)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from f
+"""
+
+#: Scores from here on count as good quality.
+QUALITY_LEVEL = 0.7
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
+    "op4_langid": op4_langid,
+    "op5_jaccard": op5_jaccard,
     "op6_chat": op6_chat,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_warc": op10_warc,
 }
-SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc": OP10_SQL}
