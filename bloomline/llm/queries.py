@@ -105,6 +105,13 @@ from written group by conv_id
 """
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm.html import main_text
+
+    texts = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bloomline.llm.exact_dedup import exact_dedup
 
@@ -119,6 +126,15 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from d window same as (partition by body)
 """
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cropped and edited copies of every 50th picture, searched among the pictures of all embeddings."""
+    from bloomline.llm.media import find_copies, pictures
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = pictures(vectors.where("vec_id % 50 = 0"), "vec_id", "embedding", edited=True)
+    return find_copies(asked, pictures(vectors, "vec_id", "embedding"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bloomline.llm.warc import read_warc, write_warc
 
@@ -154,7 +170,9 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_jaccard": op5_jaccard,
     "op6_chat": op6_chat,
+    "op7_html": op7_html,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_media": op9_media,
     "op10_warc": op10_warc,
 }
 SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc": OP10_SQL}
