@@ -79,6 +79,7 @@ def fit(
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.3, (x.shape[1], WIDTH)).astype(np.float32)
     w, b = rng.normal(0, 0.3, (WIDTH, classes)).astype(np.float32), np.zeros(classes, np.float32)
+    epochs = max(epochs, -(-400 * batch // max(1, len(x))))  # small samples need as many steps
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         order = rng.permutation(len(x))
