@@ -1 +1 @@
-"""Package."""
+"""Column expressions."""
