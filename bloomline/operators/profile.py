@@ -206,7 +206,12 @@ def client_segment(frequency: Column, color: Column, sku: Column) -> Column:
 
 
 def client_profile(df: DataFrame) -> DataFrame:
-    """One row per client. Every part is grouped by client first, so the joins meet one row per client."""
+    """One row per client. Every part is grouped by client first, so the joins meet one row per client.
+
+    The lines are read by many parts: a narrow projection of them is kept (spilling to disk; a lost piece is recomputed)
+    rather than cleaning the source once per part."""
+    used = {*CLIENT, "order_date", "year_week", "stems", "stems_confirmed", "shortfall", "product", "variety", *SIMILARITIES, *ENTROPIES, *[c for c, _, _ in TOP_SHARES]}
+    df = df.select(*sorted(used)).persist()
     parts = [client_volume_stats(df), client_recency(df), client_top_share(df), client_entropy(df), weekly_mix_similarity(df), client_type_shares(df)]
     scored = client_scores(functools.reduce(lambda a, b: a.join(b, CLIENT), parts))
     return scored.withColumns(
