@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_PAYLOAD = 100
-RECORDS_PER_FILE = 5_000
+RECORDS_PER_FILE = 1_000
 ID_PREFIX = "urn:bloomline:record:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
