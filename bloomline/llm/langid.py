@@ -123,11 +123,13 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
 
     rows = chosen.select("label", (remainder("doc_id", 12) < 3).alias("held"), "body")
     got = rows.mapInArrow(run, "label string, held boolean, places binary, amounts binary").toArrow()
-    x = np.zeros((len(got), BUCKETS), np.float32)
-    for k, (p, a) in enumerate(zip(got["places"].to_pylist(), got["amounts"].to_pylist(), strict=True)):
+    # Sorted, so that the fit doesn't depend on the order in which tasks end.
+    found = sorted(zip(*(got[c].to_pylist() for c in ("label", "held", "places", "amounts")), strict=True))
+    x = np.zeros((len(found), BUCKETS), np.float32)
+    for k, (_, _, p, a) in enumerate(found):
         x[k, np.frombuffer(p, np.uint16)] = np.frombuffer(a, np.float32)
     place = {lang: k for k, lang in enumerate(languages)}
-    y, held = np.array([place[v] for v in got["label"].to_pylist()], np.int64), np.array(got["held"].to_pylist(), bool)
+    y, held = np.array([place[r[0]] for r in found], np.int64), np.array([r[1] for r in found], bool)
     if not held.any() or held.all():
         held = np.arange(len(y)) % 4 == 3
     table, bias = fit(x[~held], y[~held], len(languages))

@@ -157,8 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", sample: in
     # At most about three samples of ids: a proven bound for the broadcast and for what is collected.
     texts = docs.select("doc_id", F.col(f"`{text_col}`").alias("body")).join(F.broadcast(chosen), "doc_id")
     got = texts.select("role", "y", "body").mapInArrow(run, "role string, y int, x binary").toArrow()
-    role, y = np.array(got["role"].to_pylist()), np.array(got["y"].to_pylist(), float)
-    x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float16).reshape(-1, WIDTH).astype(np.float32)
+    # Sorted, so that the fit doesn't depend on the order in which tasks end.
+    rows = sorted(zip(got["role"].to_pylist(), got["y"].to_pylist(), got["x"].to_pylist(), strict=True))
+    role, y = np.array([r[0] for r in rows], str), np.array([r[1] for r in rows], float)
+    x = np.frombuffer(b"".join(r[2] for r in rows), np.float16).reshape(-1, WIDTH).astype(np.float32)
     if not (role == "p").any() or not (role == "u").any():
         edge = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
         return Model(np.zeros(WIDTH + 1), np.zeros(WIDTH), np.ones(WIDTH), 0.0, float(edge))
