@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEVER = np.iinfo(np.int64).max
-#: Words and chunks that a worker keeps; beyond that it starts over.
-CACHE_WORDS = 600_000
+#: Words and chunks of a generation; a worker keeps two, and what it meets again moves to the younger.
+CACHE_WORDS = 150_000
 #: Texts that are encoded together.
 GROUP = 512
 #: Keys of a trie node for the token that ends there, inside a word and at its end; characters have other keys.
@@ -130,9 +130,12 @@ class WordBpe:
             self.rank[made], self.left[made], self.right[made] = r, a, b
         self.size = size
         self.pairs = PairTable(pairs[:, 0], pairs[:, 1])
-        self._offer()
+        if speculate:
+            self._offer()
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _offer(self) -> None:
         """Only tokens that BPE gives for their own text may be proposed."""
@@ -259,16 +262,22 @@ class WordBpe:
     def _learn(self, chunks: Iterable[str]) -> None:
         """Encodes the chunks (lower case, without white space) that aren't cached."""
         if len(self.chunks) > CACHE_WORDS:
-            self.chunks, self.words = {}, {}
-        known, find = self.chunks, self.latin.findall
+            self.old_chunks, self.chunks = self.chunks, {}
+        if len(self.words) > CACHE_WORDS:
+            self.old_words, self.words = self.words, {}
+        known, older, find = self.chunks, self.old_chunks, self.latin.findall
+        unknown = [c for c in chunks if c not in known]
+        known.update({c: older[c] for c in unknown if c in older})
         split = {
             c: find(c) if c.isascii() else [w.encode().decode("latin-1").translate(self.to_chars) for w in find(c)]
-            for c in chunks
+            for c in unknown
             if c not in known
         }
-        new = list({w for ws in split.values() for w in ws if w not in self.words})
-        self.words.update(zip(new, self.encode_words(new), strict=True))
         words = self.words
+        wanted = {w for ws in split.values() for w in ws if w not in words}
+        words.update({w: self.old_words[w] for w in wanted if w in self.old_words})
+        new = [w for w in wanted if w not in words]
+        words.update(zip(new, self.encode_words(new), strict=True))
         for c, ws in split.items():
             known[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
 

@@ -27,6 +27,8 @@ from bloomline.llm.bpe import encoder
 
 #: Sequences that are balanced against each other.
 GROUP_SEQUENCES = 128
+#: Pieces of a batch that goes back to Spark.
+FLUSH_PIECES = 512
 FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -130,7 +132,7 @@ def pack(
                     held += total - whole
                 if held >= GROUP_SEQUENCES * capacity:
                     settle(False)
-                if len(out) >= 4096:
+                if len(out) >= FLUSH_PIECES:
                     yield flush()
         if id_type is not None:
             settle(True)
