@@ -53,8 +53,9 @@ def mark_revisits(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
         .where("n > 1")
         .drop("n")
     )
-    revisits = ids.join(groups, "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
-    return base.join(revisits, "page_id", "left")
+    # By id and digest: rows with the same id may have other payloads. Both keep a common payload out of a single task.
+    revisits = ids.join(groups, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    return base.join(revisits, ["page_id", "digest"], "left")
 
 
 def _record(page_id, url, payload: bytes, digest: str, refers_to, date: str) -> bytes:

@@ -335,6 +335,19 @@ def test_warc_round_trip(spark):
     assert warc.read_warc(spark, path + "-none").count() == 0
 
 
+def test_warc_same_id_with_several_payloads(spark):
+    a, b, c = ("abc"[k] * 150 for k in range(3))
+    rows = [(3, a), (7, a), (7, b), (7, "short"), (4, c), (7, c)]
+    df = spark.createDataFrame(rows, "page_id bigint, html string").withColumn("url", F.lit("u")).repartition(3)
+    path = scratch_path(spark, "warc-ids")
+    warc.write_warc(df, path)
+    got = Counter((r.record_id, r.record_type, r.refers_to, bytes(r.payload).decode()) for r in warc.read_warc(spark, path).collect())
+    assert got == Counter(
+        [("3", "response", None, a), ("7", "revisit", "3", ""), ("7", "response", None, b), ("7", "response", None, "short"),
+         ("4", "response", None, c), ("7", "revisit", "4", "")]
+    )
+
+
 def records(n):
     return [warc._record(k, "http://x", f"payload {k} WARC/1.1\r\n".encode(), hashlib.sha256(f"payload {k} WARC/1.1\r\n".encode()).hexdigest(), None, "d") for k in range(n)]
 
