@@ -5,10 +5,12 @@ record with the smallest id is a response and the others are revisits of it. Eve
 Spark's text writer puts the members into files, with an empty member as its line separator, so a file is a plain
 sequence of gzip members and commits, retries and remote file systems are Spark's own.
 
-Reader. Files are read as binary rows of bounded size. Each member is inflated and each record's version line, header,
-length and payload digest are checked. After a failure the reader searches for the next member that inflates to a
-version line (or, inside a member or a plain file, for the next version line), goes on there and reports the bytes
-between as a quarantined gap.
+Reader. Files are read as binary rows; the writer bounds its files by bytes and records. Each member is inflated and each
+record's version line, header and length are checked, and its payload digest where the algorithm is known and the record
+holds the whole payload. Only blocks of application/http have HTTP headers before the payload. After a failure the reader
+searches for the next member that inflates to a version line (or, inside a member or a plain file, for the next version
+line), goes on there and reports the bytes between as a quarantined gap. Of a cut or damaged member the records before the
+failure are read; those that nothing proves (no digest, or only the member's checksum fails) carry the reason as well.
 
 Defined results: null payloads are empty; null urls give no WARC-Target-URI; a null id is written as an empty record id
 and read back as null; rows with the same id are all written; an empty table gives an archive without records.
@@ -16,6 +18,7 @@ and read back as null; rows with the same id are all written; an empty table giv
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -27,11 +30,16 @@ from pyspark.sql import functions as F
 
 MIN_PAYLOAD = 100
 RECORDS_PER_FILE = 1_000
+#: Compressed bytes from which on a file is full; one record more may be in it.
+FILE_BYTES = 8 << 20
 ID_PREFIX = "urn:bloomline:record:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 STEP = 1 << 14
+#: Digest algorithms that are checked, in hex, base32 or base64; records with others are accepted unchecked.
+DIGESTS = frozenset("md5 sha1 sha224 sha256 sha384 sha512".split())
+HTTP_END = re.compile(rb"\r?\n\r?\n")
 
 
 def _member(data: bytes, level: int = 1) -> bytes:
@@ -86,13 +94,25 @@ def write_warc(
     """Writes a record per row under path."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per file: members up to FILE_BYTES and RECORDS_PER_FILE."""
+
+        def flush() -> pa.RecordBatch:
+            whole = b"".join(made)
+            made.clear()
+            return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], ["member"])
+
+        made: list[bytes] = []
+        held = 0
         for batch in batches:
             for k in range(0, len(batch), 256):
-                rows = batch.slice(k, 256).to_pylist()
-                made = [
-                    _member(_record(r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"], date)) for r in rows
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["member"])
+                for r in batch.slice(k, 256).to_pylist():
+                    made.append(_member(_record(r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"], date)))
+                    held += len(made[-1])
+                    if held >= FILE_BYTES or len(made) >= RECORDS_PER_FILE:
+                        yield flush()
+                        held = 0
+        if made:
+            yield flush()
 
     marked = mark_revisits(pages, id_col, url_col, payload_col, min_payload)
     rows = marked.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(members, "member binary")
@@ -100,25 +120,61 @@ def write_warc(
         rows.select(F.col("member").cast("string").alias("value"))
         .write.option("lineSep", _member(b"").decode("latin-1"))
         .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", 1)
         .text(path)
     )
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int] | None:
-    """The contents of the gzip member at a place and where it ends, None if it is damaged or cut off."""
-    z, out = zlib.decompressobj(31), []
+def inflate(data: memoryview, at: int) -> tuple[bytes, int] | tuple[bytes, str]:
+    """The contents of the gzip member at a place and where it ends; of a damaged or cut one what comes before the failure,
+    and what is wrong."""
+    z, out, k = zlib.decompressobj(31), [], at
     try:
-        while at < len(data):
-            out.append(z.decompress(data[at : at + STEP]))
-            at += STEP
+        while k < len(data):
+            before = z.copy()
+            out.append(z.decompress(data[k : k + STEP]))
+            k += STEP
             if z.eof:
-                return b"".join(out), min(at, len(data)) - len(z.unused_data)
-    except zlib.error:
-        pass
+                return b"".join(out), min(k, len(data)) - len(z.unused_data)
+    except zlib.error as error:
+        # The failing step gives nothing: byte by byte it gives all that comes before.
+        try:
+            for j in range(k, min(k + STEP, len(data))):
+                out.append(before.decompress(data[j : j + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out), UNPROVED if "check" in str(error) else "damaged member"
+    return b"".join(out), "cut member"
+
+
+#: Deflate may be valid over wrong bytes: then only the checksum tells, and not where.
+UNPROVED = "member differs from its checksum"
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The body without its chunked transfer coding, None if it has none."""
+    out, at = [], 0
+    while m := re.compile(rb"([0-9a-fA-F]+)[^\r\n]*\r\n").match(body, at):
+        size = int(m[1], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[m.end() : m.end() + size])
+        at = m.end() + size + 2
     return None
 
 
+def differs(digest: str, payload: bytes) -> bool | None:
+    """Whether a digest contradicts the payload; None if its algorithm isn't known. 64 places without a label are sha256."""
+    label, _, value = digest.rpartition(":")
+    label = label.lower().replace("-", "") or ("sha256" if len(value) == 64 else "")
+    if label not in DIGESTS:
+        return None
+    want = hashlib.new(label, payload).digest()
+    base32, base64_ = (f(want).decode().rstrip("=") for f in (base64.b32encode, base64.b64encode))
+    bare = value.rstrip("=")
+    return value.lower() != want.hex() and bare.upper() != base32 and bare.replace("-", "+").replace("_", "/") != base64_
+
+
 def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record at a place and where it ends, or what is wrong there."""
     if not VERSION.match(data, at):
@@ -138,22 +194,46 @@ def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     block = data[start : start + size]
     if len(block) < size or data[start + size : start + size + 4] != b"\r\n\r\n":
         return "block shorter or longer than its length"
-    http, _, payload = block.partition(b"\r\n\r\n")
-    kind, digest = fields.get("warc-type", ""), fields.get("warc-payload-digest", "").removeprefix("sha256:")
-    length = len(payload)
-    if kind == "response" and digest and hashlib.sha256(payload).hexdigest() != digest:
-        return "payload differs from its digest"
+    kind, digest = fields.get("warc-type", ""), fields.get("warc-payload-digest", "")
+    media = fields.get("content-type", "").partition(";")[0].strip().lower()
+    http, payload = b"", block
+    if media == "application/http" or not media and block.startswith(b"HTTP/"):
+        cut = HTTP_END.search(block)
+        http, payload = (block[: cut.start()], block[cut.end() :]) if cut else (block, b"")
+    length, proved = len(payload), False
+    # A cut or segmented record's digest is that of the whole payload.
+    whole = "warc-truncated" not in fields and "warc-segment-number" not in fields
+    if kind in ("response", "resource", "conversion") and digest and whole:
+        wrong = differs(digest, payload)
+        # Archives digest chunked bodies as sent or as meant.
+        if wrong and re.search(rb"(?i)\ntransfer-encoding:[^\n]*chunked", http) and (bare := _unchunked(payload)) is not None:
+            wrong = differs(digest, bare)
+        if wrong:
+            return "payload differs from its digest"
+        proved = wrong is False
     if kind == "revisit":
-        found = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
+        found = re.search(rb"(?i)\ncontent-length:\s*(\d+)", http)
         length = int(found[1]) if found else None
     named = lambda key: (v.strip("<>").removeprefix(ID_PREFIX) or None) if (v := fields.get(key)) else None
     return {
         "record_type": kind, "record_id": named("warc-record-id"), "refers_to": named("warc-refers-to"),
-        "target_uri": fields.get("warc-target-uri"), "payload_digest": digest or None, "payload_bytes": length,
-        "payload": payload,
+        "target_uri": fields.get("warc-target-uri"), "payload_digest": digest.removeprefix("sha256:") or None,
+        "payload_bytes": length, "payload": payload, "proved": proved,
     }, start + size + 4
 
 
+def _opens(data: memoryview, at: int) -> bool:
+    """Whether a member inflates to nothing or begins with a version line, even if it is damaged or cut later."""
+    z, out = zlib.decompressobj(31), b""
+    try:
+        while at < len(data) and len(out) < 10 and not z.eof:
+            out += z.decompress(data[at : at + 64], 64)
+            at += 64
+    except zlib.error:
+        return False
+    return bool(VERSION.match(out)) or z.eof and not out
+
+
 def _next_member(data: memoryview, raw: bytes, at: int) -> int:
     """The next place from which a member inflates to a version line or to nothing, or a plain version line."""
     while True:
@@ -161,34 +241,41 @@ def _next_member(data: memoryview, raw: bytes, at: int) -> int:
         packed = raw.find(MAGIC, at)
         if packed < 0 or plain and plain.start() < packed:
             return plain.start() if plain else len(raw)
-        got = inflate(data, packed)
-        if got and (not got[0] or VERSION.match(got[0])):
+        if _opens(data, packed):
             return packed
         at = packed + 1
 
 
 def salvage(raw: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
-    """(offset, length, reason, record) of each record, and of each gap with its reason and no record."""
+    """(offset, length, reason, record) of each record, and of each gap with its reason and no record. Records that a
+    damaged member gives but nothing proves have both."""
     data, at = memoryview(raw), 0
     while at < len(raw):
         reason = "no member or version line"
         if raw.startswith(MAGIC, at):
-            got = inflate(data, at)
-            reason = "damaged or cut member"
-            if got:
-                inner, end, inside = got[0], got[1], 0
-                while inside < len(inner):
-                    found = parse(inner, inside)
-                    if isinstance(found, str):
-                        later = VERSION.search(inner, inside + 1)
-                        inside = later.start() if later else len(inner)
-                        yield at, end - at, found, None
-                    else:
-                        yield at, end - at, None, found[0]
-                        inside = found[1]
-                at = end
-                continue
-        elif VERSION.match(raw, at):
+            inner, end = inflate(data, at)
+            broken, after, inside = None, end, 0
+            if isinstance(end, str):
+                # A cut member's stream may run on into the next one: it ends there.
+                after = _next_member(data, raw, at + 1)
+                inner, end = inflate(data[:after], at)
+                broken = end if isinstance(end, str) else "damaged member"
+            while inside < len(inner):
+                found = parse(inner, inside)
+                if isinstance(found, str):
+                    later = VERSION.search(inner, inside + 1)
+                    inside = later.start() if later else len(inner)
+                    if later or not broken:
+                        yield at, after - at, found, None
+                else:
+                    sure = broken in (None, "cut member") or found[0]["proved"] and broken != UNPROVED
+                    yield at, after - at, None if sure else broken, found[0]
+                    inside = found[1]
+            if broken:
+                yield at, after - at, broken, None
+            at = after
+            continue
+        if VERSION.match(raw, at):
             found = parse(raw, at)
             if not isinstance(found, str):
                 yield at, found[1] - at, None, found[0]
@@ -207,7 +294,8 @@ FIELDS = {
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record or gap: path, offset, length, reason (null for records), then the record's fields."""
+    """One row per record or gap: path, offset, length, reason (null for records), then the record's fields. A record from a
+    damaged member that nothing proves has both a reason and its fields."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:

@@ -365,6 +365,60 @@ def test_salvage_skips_damage_and_logs_gaps(packed):
     assert any(r[3] is None and r[2] for r in out)
 
 
+def plain_record(kind, block, media=None, **fields):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", *([f"Content-Type: {media}"] if media else []), f"Content-Length: {len(block)}"]
+    head += [f"{k.replace('_', '-')}: {v}" for k, v in fields.items()]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_salvage_reads_records_of_ordinary_archives():
+    import base64
+
+    http, body = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n", b"one\r\n\r\ntwo"
+    sha1 = hashlib.sha1(body).digest()
+    chunked = http.replace(b"A: b", b"Transfer-Encoding: chunked")
+    block = b"first: 1\r\n\r\nsecond: 2"
+    cases = [
+        ("response", http + body, "application/http; msgtype=response", f"sha1:{base64.b32encode(sha1).decode()}", body),
+        ("response", http + body, "application/http", f"SHA1:{sha1.hex()}", body),
+        ("response", http + body, "application/http", "blake3:whatever", body),
+        ("response", chunked + b"c\r\none\r\n\r\ntwo0\r\n\r\n0\r\n\r\n", "application/http", None, b"c\r\none\r\n\r\ntwo0\r\n\r\n0\r\n\r\n"),
+        ("response", chunked + b"a\r\none\r\n\r\ntwo\r\n0\r\n\r\n", "application/http", f"sha256:{hashlib.sha256(body).hexdigest()}", b"a\r\none\r\n\r\ntwo\r\n0\r\n\r\n"),
+        ("warcinfo", block, "application/warc-fields", None, block), ("metadata", block, None, None, block),
+        ("resource", block, "text/plain", f"sha256:{hashlib.sha256(block).hexdigest()}", block), ("conversion", b"text", "text/plain", None, b"text"),
+    ]
+    raw = b"".join(plain_record(k, b, m, **({"WARC_Payload_Digest": d} if d else {})) for k, b, m, d, _ in cases)
+    for form in (raw, warc._member(raw)):
+        out = list(warc.salvage(form))
+        assert [(r[2], r[3]["record_type"], r[3]["payload"]) for r in out] == [(None, k, p) for k, _, _, _, p in cases]
+    wrong = plain_record("response", http + b"bad", "application/http", WARC_Payload_Digest=f"sha1:{base64.b32encode(sha1).decode()}")
+    assert [r[3] for r in warc.salvage(wrong)] == [None]
+
+
+def test_salvage_keeps_records_before_the_failure_of_a_member():
+    whole = warc._member(b"".join(records(2_000)))
+    cut = list(warc.salvage(b"junk" + whole[: len(whole) // 2] + warc._member(records(3)[2])))
+    good = [r[3]["record_id"] for r in cut if r[3] and not r[2]]
+    assert len(good) > 800 and good[:-1] == [str(k) for k in range(len(good) - 1)] and good[-1] == "2"
+    assert [r[2] for r in cut if r[3] is None][0] == "no member or version line" and [r[2] for r in cut if r[3] is None][1:] == ["cut member"]
+    ended = list(warc.salvage(whole[: len(whole) // 2]))
+    assert len([r for r in ended if r[3] and not r[2]]) > 800 and [r[2] for r in ended if r[3] is None] == ["cut member"]
+    # Only the checksum fails: no record is sure, none is lost.
+    flipped = list(warc.salvage(whole[:-8] + bytes(8)))
+    assert [r[3]["record_id"] for r in flipped if r[3]] == [str(k) for k in range(2_000)] and all(r[2] for r in flipped)
+
+
+def test_warc_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    rng = random.Random(1)
+    rows = [(k, "".join(rng.choices("0123456789abcdef", k=8_000))) for k in range(40)]
+    path = scratch_path(spark, "warc-files")
+    warc.write_warc(spark.createDataFrame(rows, "page_id bigint, html string").withColumn("url", F.lit("u")), path)
+    files = spark.read.format("binaryFile").load(path).select("length").collect()
+    assert len(files) > 5 and max(f.length for f in files) < 30_000
+    assert {(int(r.record_id), bytes(r.payload).decode()) for r in warc.read_warc(spark, path).collect()} == set(rows)
+
+
 def test_pipeline_equals_its_stages(spark, sf_dir):
     import corpus_pipeline
 
