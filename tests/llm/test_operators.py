@@ -439,3 +439,21 @@ def test_pipeline_equals_its_stages(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id for r in rows} == set(texts)
     assert json.dumps(sorted({r.doc_tokens for r in rows if r.start == 0}))
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark, empty):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(80)]
+    near = lambda k: " ".join([*base[:-1], f"end{k}"])
+    clean = [" ".join(f"c{k}x{j}" for j in range(30)) for k in range(3)]
+    # Id 5 has a near copy of id 1's text and two clean texts; id 1 has two texts of one group; null ids have texts as well.
+    rows = [(1, near(0)), (1, near(1)), (5, near(2)), (5, clean[0]), (5, clean[1]), (None, near(3)), (None, clean[2]), (7, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near(spark, df, "").collect()]
+    in_group = [r for r in got if (r[1] or "").startswith(base[0])]
+    assert len(in_group) == 1 and in_group[0] in rows[:2]
+    rest = Counter(r for r in got if r not in in_group)
+    assert rest == Counter(rows[3:5] + rows[6:])
+    assert corpus_pipeline.drop_near(spark, empty, "").count() == 0
