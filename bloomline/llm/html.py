@@ -8,7 +8,10 @@ are all new has 1. The importance of a branch is GAMMA times its content importa
 importance. Branches below LEVEL go. Hosts with fewer than LEAST_PAGES pages use the tree merged over all hosts.
 
 Markup that says what it is goes first: navigation, page headers and footers, asides, forms, scripts, adverts, notices
-and comments are no main text on any host; inside article or main, the rest is. The tree decides about all other branches.
+and comments are no main text on any host. A class, id or role says so only as a whole: each word of a name has to be one
+of HINTS or a word for a part of a page (PARTS), so "has-sidebar" says nothing; ids of headings are no hints. A hint or form
+around the page's article or main doesn't count: it is a layout. The tree decides about all other branches, also inside
+article and main.
 
 Identical pages count once in the tree, so copies don't make an article look like a template.
 
@@ -51,7 +54,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_BLOCK = "p"
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-DROPPED = frozenset("head title nav footer aside form button select menu dialog fieldset datalist".split())
+DROPPED = frozenset("head title nav footer aside button select menu dialog datalist".split())
 #: Fixed words: parts of class, id or role names of what is no article text.
 HINTS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -60,26 +63,51 @@ HINTS = frozenset(
     "sponsored subscribe subscription toolbar widget complementary contentinfo alert gdpr".split()
 )
 PAGE_HINTS = frozenset("header masthead topbar banner".split())
+#: Words that may stand beside a hint in one name, as in "comment-list".
+PARTS = frozenset(
+    "area articles bar block bottom box buttons container footer form header icons inner items left links list outer page "
+    "panel posts right section site stories thread title top widget wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are dropped unless they hold the page's article or main.
+WRAPS = frozenset("form fieldset".split())
 MAIN = frozenset("article main".split())
 WORDS = re.compile(r"[^a-z]+")
 KEEP, DROP, OPEN = 0, 1, 2
 
 
-def branches(page: str | None) -> list[tuple[int, str, str, int]]:
-    """The page's blocks in order: kind (KEEP, DROP or OPEN), path, text and characters inside links."""
-    page, out = page or "", []
-    stack: list[tuple[str, str, int]] = [("", "", OPEN)]  # tag, path, kind
+def hints(value: str, words: frozenset[str]) -> bool:
+    """Whether a name in the value says a role: one word of these, and others only of HINTS and PARTS."""
+    for name in value.split():
+        found = {w for w in WORDS.split(name) if w}
+        if found & words and found <= words | HINTS | PARTS:
+            return True
+    return False
+
+
+def layouts(mains: list[tuple[str, tuple[int, ...]]], told: set[int]) -> set[int]:
+    """The hinted elements that hold the page's own article or main: those around each main with text, and around the
+    articles with the fewest of them (others are teasers or comments)."""
+    some = [mains[k] for k in told]
+    least = min((len(around) for _, around in some), default=0)
+    return {w for tag, around in some if tag == "main" or len(around) == least for w in around}
+
+
+def branches(page: str | None) -> list[tuple[int, str, str]]:
+    """The page's blocks in order: kind (KEEP, DROP or OPEN), path and text."""
+    page, found = page or "", []
+    # tag, path, kind, the hinted elements around it, the article or main that it is in
+    stack: list[tuple[str, str, int, tuple[int, ...], int]] = [("", "", OPEN, (), -1)]
     parts: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    mains: list[tuple[str, tuple[int, ...]]] = []
+    hinted, at = 0, 0
 
     def flush() -> None:
-        nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append((stack[-1][2], stack[-1][1], text, linked))
+                found.append((*stack[-1][1:], text))
             parts.clear()
-        linked = 0
 
     def close(k: int) -> None:
         flush()
@@ -88,7 +116,6 @@ def branches(page: str | None) -> list[tuple[int, str, str, int]]:
     for m in TOKEN.finditer(page):
         if m.start() > at:
             parts.append(page[at : m.start()])
-            linked += in_link and m.start() - at
         at = m.end()
         tag = m["tag"]
         if tag is None:
@@ -99,8 +126,7 @@ def branches(page: str | None) -> list[tuple[int, str, str, int]]:
         if tag == "br":
             parts.append(" ")
         elif tag in INLINE:
-            if tag == "a":
-                in_link = 0 if m["end"] else 1
+            continue
         elif m["end"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -117,29 +143,38 @@ def branches(page: str | None) -> list[tuple[int, str, str, int]]:
                     close(len(stack) - 1)
             if tag in VOID:
                 continue
-            kind, style, hidden = stack[-1][2], tag, False
-            names: set[str] = set()
+            style, hidden = tag, False
+            _, _, kind, around, inside = stack[-1]
+            names: list[str] = []
             for name, value in CLASS.findall(m["rest"]) if m["rest"] else ():
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
                     hidden = True
                 elif name != "style":
-                    names |= set(WORDS.split(value))
+                    if name != "id" or tag not in HEADINGS:
+                        names.append(value)
                     if name == "class":
                         style = f"{tag}.{'.'.join(sorted(value.split()))}"
             if kind != DROP and tag not in ("html", "body"):
-                if tag in DROPPED or hidden or names & HINTS:
-                    kind = DROP
-                elif kind == OPEN and (tag == "header" or names & PAGE_HINTS):
+                if tag in DROPPED or hidden:
                     kind = DROP
-                elif tag in MAIN:
-                    kind = KEEP
+                elif (
+                    tag in WRAPS or any(hints(v, HINTS) for v in names)
+                    or kind == OPEN and (tag == "header" or any(hints(v, PAGE_HINTS) for v in names))
+                ):
+                    around = (*around, hinted)
+                    hinted += 1
+                if kind != DROP and tag in MAIN:
+                    kind, inside = KEEP, len(mains)
+                    mains.append((tag, around))
             if not m["rest"].endswith("/"):
-                stack.append((tag, f"{stack[-1][1]}/{style}", kind))
+                stack.append((tag, f"{stack[-1][1]}/{style}", kind, around, inside))
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return out
+    told = {inside for _, kind, around, inside, _ in found if kind == KEEP and around == mains[inside][1]}
+    free = layouts(mains, told)
+    return [(kind if free.issuperset(around) else DROP, path, text) for path, kind, around, _, text in found]
 
 
 def host_of(url: str | None) -> str:
@@ -159,7 +194,7 @@ def tree_rows(pages: DataFrame) -> DataFrame:
             rows: set[tuple[str, str, str, int, int]] = set()
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 host, digest, kids = host_of(url), number(page or ""), {}
-                for _, path, text, _ in branches(page):
+                for _, path, text in branches(page):
                     rows.add((host, path, "page", 0, digest))
                     rows.add((host, path, "text", number(text), digest))
                     kids.setdefault(path.rpartition("/")[0], []).append(path)
@@ -236,8 +271,8 @@ def main_text(
                 host = host_of(url)
                 kept = [
                     text
-                    for kind, path, text, linked in branches(page)
-                    if kind == KEEP or kind == OPEN and 2 * linked <= len(text) and number(f"{host}\n{path}") not in removed
+                    for kind, path, text in branches(page)
+                    if kind == KEEP or kind == OPEN and number(f"{host}\n{path}") not in removed
                 ]
                 texts.append("\n".join(kept))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
@@ -253,8 +288,8 @@ def _joined(base: DataFrame, low: DataFrame, url_col: str, html_col: str) -> Dat
             rows = [
                 (i, host_of(url), k, kind == KEEP, path, text)
                 for i, url, page in zip(*(batch.column(c).to_pylist() for c in ("row", url_col, html_col)), strict=True)
-                for k, (kind, path, text, linked) in enumerate(branches(page))
-                if kind == KEEP or kind == OPEN and 2 * linked <= len(text)
+                for k, (kind, path, text) in enumerate(branches(page))
+                if kind != DROP
             ]
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string())

@@ -299,6 +299,24 @@ def test_site_style_tree_removes_templates(spark, limit):
     assert html.main_text(df.where("false")).count() == 0
 
 
+def kept(page):
+    return [text for kind, _, text in html.branches(page) if kind == html.KEEP]
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["div class='layout has-sidebar'", "div class='no-sidebar'", "div class='social-history'", "div class='search-results'", "div class='main-widget'",
+     "div class='search sidebar'", "div id='overlay'", "form id='aspnetForm'", "div class='page-header'"],
+)
+def test_layout_around_an_article_is_no_hint(around):
+    rest = "<div class='sidebar'>side</div><div class='related-posts'><article>teaser</article></div>"
+    for tag in ("article", "main"):
+        text = f"<h2 id='related-work'>One</h2><h2 id='search'>Two</h2><p>three</p><div class='comment-list'><article class='comment'>reply</article></div>"
+        page = f"<body><{around}><{tag}>{text}</{tag}>{rest}</{around.split()[0]}><nav><article>menu</article></nav></body>"
+        assert kept(page) == ["One", "Two", "three"], around
+    assert kept("<body><article class='post social'><p>text</p></article></body>") == ["text"]
+
+
 # 9. Media
 
 
