@@ -10,8 +10,9 @@ importance. Branches below LEVEL go. Hosts with fewer than LEAST_PAGES pages use
 Markup that says what it is goes first: navigation, page headers and footers, asides, forms, scripts, adverts, notices
 and comments are no main text on any host. A class, id or role says so only as a whole: each word of a name has to be one
 of HINTS or a word for a part of a page (PARTS), so "has-sidebar" says nothing; ids of headings are no hints. A hint or form
-around the page's article or main doesn't count: it is a layout. The tree decides about all other branches, also inside
-article and main.
+around the page's article or main doesn't count: it is a layout. The tree decides about all other branches. Inside article
+and main only the host's own tree removes branches (found on at least LEAST_PAGES of its pages), and never all of a page's:
+near copies of one article don't make it a template.
 
 Identical pages count once in the tree, so copies don't make an article look like a template.
 
@@ -241,12 +242,24 @@ def site_style_tree(pages: DataFrame) -> DataFrame:
 
 
 def low_branches(tree: DataFrame, level: float, least_pages: int) -> DataFrame:
-    """host and path of the branches to remove."""
+    """host and path of the branches to remove, and whether the host's own tree says so."""
     told = tree.where(F.col("pages") >= least_pages).withColumn("low", F.col("importance") < level)
     own = told.where("host is not null and low").select("host", "path")
     every = told.where("host is null and low").select("path")
     small = tree.where((F.col("pages") < least_pages) & F.col("host").isNotNull()).select("host", "path")
-    return own.unionByName(small.join(every, "path", "left_semi"))
+    borrowed = small.join(every, "path", "left_semi").withColumn("own", F.lit(False))
+    return own.withColumn("own", F.lit(True)).unionByName(borrowed)
+
+
+def chosen(blocks: list[tuple[int, str, str]], host: str, removed: dict[int, bool]) -> list[str]:
+    """The texts of a page's blocks that stay; removed: the low branches, and whether the host's own tree says so."""
+    low = [removed.get(number(f"{host}\n{path}")) if kind != DROP else None for kind, path, _ in blocks]
+    some = any(kind == KEEP and not own for (kind, _, _), own in zip(blocks, low, strict=True))
+    return [
+        text
+        for (kind, _, text), own in zip(blocks, low, strict=True)
+        if kind == KEEP and (not own or not some) or kind == OPEN and own is None
+    ]
 
 
 def main_text(
@@ -261,20 +274,14 @@ def main_text(
         return _joined(base, low, url_col, html_col)
     keys = low.toArrow()
     gone = [number(f"{h}\n{p}") for h, p in zip(keys["host"].to_pylist(), keys["path"].to_pylist(), strict=True)]
-    shared = pages.sparkSession.sparkContext.broadcast(np.array(gone, np.int64))
+    shared = pages.sparkSession.sparkContext.broadcast((np.array(gone, np.int64), np.array(keys["own"].to_pylist(), bool)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        removed = set(shared.value.tolist())
+        removed = dict(zip(*(x.tolist() for x in shared.value), strict=True))
         for batch in batches:
             texts = []
             for url, page in zip(batch.column(url_col).to_pylist(), batch.column(html_col).to_pylist(), strict=True):
-                host = host_of(url)
-                kept = [
-                    text
-                    for kind, path, text in branches(page)
-                    if kind == KEEP or kind == OPEN and number(f"{host}\n{path}") not in removed
-                ]
-                texts.append("\n".join(kept))
+                texts.append("\n".join(chosen(branches(page), host_of(url), removed)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     return base.mapInArrow(run, base.withColumn("text", F.lit("")).schema)
@@ -299,7 +306,10 @@ def _joined(base: DataFrame, low: DataFrame, url_col: str, html_col: str) -> Dat
     numbered = stored(base.withColumn("row", F.monotonically_increasing_id()), "html-rows")
     schema = "row bigint, host string, k bigint, sure boolean, path string, block string"
     blocks = numbered.select("row", url_col, html_col).mapInArrow(run, schema)
-    marked = blocks.join(low.withColumn("low", F.lit(True)), ["host", "path"], "left").where("sure or low is null")
-    texts = marked.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "block"))).alias("b"))
+    marked = blocks.join(low, ["host", "path"], "left").where("sure or own is null").withColumn("gone", F.coalesce("own", F.lit(False)))
+    texts = marked.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("k", "block", "gone"))).alias("b"), F.bool_or(F.expr("sure and not gone")).alias("some")
+    )
     joined = numbered.join(texts, "row", "left")
-    return joined.withColumn("text", F.coalesce(F.array_join("b.block", "\n"), F.lit(""))).drop("row", "b")
+    stay = F.transform(F.filter("b", lambda x: ~x.gone | ~F.col("some")), lambda x: x.block)
+    return joined.withColumn("text", F.coalesce(F.array_join(stay, "\n"), F.lit(""))).drop("row", "b", "some")

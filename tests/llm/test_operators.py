@@ -317,6 +317,23 @@ def test_layout_around_an_article_is_no_hint(around):
     assert kept("<body><article class='post social'><p>text</p></article></body>") == ["text"]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_style_tree_decides_inside_articles(spark, limit):
+    box = "<div class='x7'><p>Written by the staff</p></div><ul class='x8'><li><a href='/'>Latest news</a></li></ul>"
+    page = "<body><article><p>{a}</p>{box}</article></body>"
+    rows = [(k, f"http://many/{k}", page.format(a=f"text {k}", box=box)) for k in range(6)]
+    rows += [(10 + k, f"http://few/{k}", page.format(a=f"other {k}", box=box)) for k in range(2)]
+    # Printed versions of one article: all its branches repeat, and it stays.
+    rows += [(20 + k, f"http://same/{k}", f"<body><nav>{k}</nav><article><p>one</p><p>two</p></article></body>") for k in range(5)]
+    # Links only, but new on each page: no template.
+    rows += [(30 + k, f"http://links/{k}", f"<body><div class='y'><a href='/'>link {k}</a></div><p>word {k}</p></body>") for k in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text.split("\n") for r in html.main_text(df, broadcast_branches=limit).collect()}
+    assert all(got[k] == [f"text {k}"] for k in range(6))
+    assert all(got[10 + k] == [f"other {k}", "Written by the staff", "Latest news"] for k in range(2))
+    assert all(got[20 + k] == ["one", "two"] and got[30 + k] == [f"link {k}", f"word {k}"] for k in range(5))
+
+
 # 9. Media
 
 
