@@ -15,8 +15,12 @@ hub's answers are its answers. Lists of common n-grams are split into slots with
 What is left are pairs of different groups. Lists are cut into blocks by set size, and only equal and neighbouring blocks
 meet; a pair is skipped when its sizes differ too much, when the n-gram stands so late in either set that too few can
 follow, or when both were compared with the same hub and their distances to it differ by more than 1 - t (Jaccard
-distance is a metric). The rest are compared exactly. Links inside a group need no test: they change nothing.
-So the groups are those of all links, while no list gives all its pairs.
+distance is a metric). The rest are compared exactly. Links inside a group don't change the groups, so without ``links``
+no list gives all its pairs.
+
+Number of links. With ``links``, pairs of the same group are met as well. Two classes whose distances to their common hub
+add up to at most 1 - t are linked for certain: these are counted by distance, without making pairs. The others that the
+bounds leave open are compared exactly, so their number may grow with the square of a group's size.
 
 Defined results: null, empty and white-space texts have the empty set and are linked with nothing; repeated rows and ids
 are kept, each row is listed; rows with null id are listed, never name a group, and are linked only where a row with an
@@ -42,6 +46,8 @@ COMMON = 2
 COMMON_AT_MOST = 500_000
 #: A list longer than this is dealt into slots.
 SLOT_ROWS = 2_000
+#: Distances to a hub are added up in whole billionths, rounded up.
+BILLION = 1_000_000_000
 #: Rows of a broadcast join's small side; beyond that the sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -243,9 +249,22 @@ def roots(links: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def certain_links(known: DataFrame, reach: int) -> DataFrame:
+    """sid and n, the other classes of its hub whose distance and its own add up to at most reach. known: sid, anchor and
+    parts (the distance), one row per class. Pairs aren't made: equal distances are counted first, then summed in order."""
+    near = known.where(F.col("parts") <= reach)
+    some = near.groupBy("anchor", "parts").agg(F.count(F.lit(1)).alias("k"))
+    here = some.select("anchor", "parts", F.col("parts").alias("at"), F.lit(0).alias("asks"), "k")
+    asked = some.select("anchor", "parts", (F.lit(reach) - F.col("parts")).alias("at"), F.lit(1).alias("asks"), F.lit(0).cast("bigint").alias("k"))
+    upto = Window.partitionBy("anchor").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    sums = here.union(asked).withColumn("within", F.sum("k").over(upto)).where("asks = 1").select("anchor", "parts", "within")
+    itself = F.when(F.col("parts") * 2 <= reach, 1).otherwise(0)
+    return near.join(sums, ["anchor", "parts"]).select("sid", (F.col("within") - itself).alias("n")).where("n > 0")
+
+
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, links: bool = True) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest id of its group), class_id (the set's
-    name, null for the empty set) and n_links (hub comparisons and cross-group comparisons that linked its class)."""
+    name, null for the empty set) and n_links (the other classes that its class is linked with; null without links)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("body"))
     both = stored(signatures(rows, width), "jaccard-signatures")
     signed = both.where("row").select("id", "sid", "n")
@@ -295,7 +314,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = roots(compared.where("linked"))
 
     away = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    known = compared.select(F.col("b").alias("sid"), F.col("a").alias("anchor"), (1 - away).alias("away"))
+    known = compared.select(F.col("b").alias("sid"), F.col("a").alias("anchor"), (1 - away).alias("away")).withColumn(
+        "parts", F.ceil(F.col("away") * BILLION) + 1
+    )
+    reach = (100 - percent) * (BILLION // 100)
     placed = (
         lists.select("gram", "sid", "n", "pos")
         .join(groups, "sid", "left")
@@ -303,7 +325,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("root", F.coalesce("root", "sid"))
         .distinct()
     )
-    spread = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram")
+    side = "sid" if links else "root"
+    spread = placed.groupBy("gram").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low <> high").select("gram")
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)))
     mixed = stored(placed.join(spread, "gram", "left_semi").withColumn("block", block), "jaccard-mixed")
     x = mixed.select([F.col(c).alias(f"{c}_x") for c in mixed.columns]).withColumn("at_x", F.explode(F.array(F.col("block_x"), F.col("block_x") + 1)))
@@ -315,33 +338,46 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     early = (F.col("pos_x") + least <= F.col("n_x")) & (F.col("pos_y") + least <= F.col("n_y"))
     pairs = (
         x.join(y, (F.col("gram_x") == F.col("gram_y")) & (F.col("at_x") == F.col("block_y")) & early)
-        .where(F.col("root_x") != F.col("root_y"))
+        .where(F.col(f"{side}_x") != F.col(f"{side}_y"))
         .where(~same_block | (F.col("sid_x") < F.col("sid_y")))
         .where(fits(F.col("n_x"), F.col("n_y")))
         .where(~apart | (F.abs(F.col("away_x") - F.col("away_y")) <= F.lit(1 - percent / 100 + 1e-9)))
+        .where(~apart | (F.col("parts_x") + F.col("parts_y") > reach))
         .select(F.col("sid_x").alias("a"), F.col("sid_y").alias("b"), F.col("n_x").alias("na"), F.col("n_y").alias("nb"))
         .distinct()
     )
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if links:
+        seen = ordered(compared).distinct().select(F.col("a").alias("low"), F.col("b").alias("high"))
+        pairs = pairs.join(seen, (F.least("a", "b") == F.col("low")) & (F.greatest("a", "b") == F.col("high")), "left_anti")
     crossing = stored(pairs, "jaccard-cross-pairs")
-    linked = compared.where("linked").select("a", "b").distinct()
+    linked = ordered(compared.where("linked")).distinct()
     if crossing.limit(1).count():
         found = stored(compare(crossing, rows, first_of, width, percent), "jaccard-crossing")
-        linked = linked.union(found.where("linked").select("a", "b").distinct())
+        linked = linked.union(ordered(found.where("linked"))).distinct()
         groups = roots(linked)
 
-    ends = linked.select(F.col("a").alias("sid")).union(linked.select(F.col("b").alias("sid")))
-    links = ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n_links"))
+    if links:
+        ends = linked.select(F.col("a").alias("sid")).union(linked.select(F.col("b").alias("sid")))
+        counted = ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n")).union(certain_links(known, reach))
+        number = F.coalesce("n_links", F.lit(0))
+        links_of = counted.groupBy("sid").agg(F.sum("n").alias("n_links"))
+    else:
+        number = F.lit(None).cast("bigint")
+        links_of = None
     classes = (
         signed.where("sid is not null").groupBy("sid").agg(F.min("id").alias("id"))
         .join(groups, "sid", "left")
         .withColumn("root", F.coalesce("root", "sid"))
     )
     names = classes.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_class = classes.select("sid", "root").join(names, "root").join(links, "sid", "left").drop("root")
+    by_class = classes.select("sid", "root").join(names, "root").drop("root")
+    if links_of is not None:
+        by_class = by_class.join(links_of, "sid", "left")
     return signed.join(by_class, "sid", "left").select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         F.col("sid").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        number.alias("n_links"),
     )

@@ -189,6 +189,23 @@ def test_jaccard_groups_equal_brute_force(spark, monkeypatch, seed, slot):
     assert got == brute_groups(texts)
 
 
+@pytest.mark.parametrize("slot", [2_000, 5])
+def test_jaccard_counts_all_links(spark, monkeypatch, slot):
+    monkeypatch.setattr(jaccard, "SLOT_ROWS", slot)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    near = [" ".join([*base[:k], f"x{j}", *base[k + 1 :]]) for j, k in enumerate(rng.sample(range(200), 25))]
+    texts = dict(enumerate([*edited_texts(4), " ".join(base), *near, near[0], "", None]))
+    sets = {i: frozenset(jaccard.shingles(t, 5).tolist()) for i, t in texts.items()}
+    different = {s for s in sets.values() if s}
+    want = {s: sum(s != o and 100 * len(s & o) >= 80 * len(s | o) for o in different) for s in different}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.n_links for r in jaccard.jaccard_groups(df).collect()}
+    assert got == {i: want.get(s, 0) for i, s in sets.items()}
+    assert sum(n >= 25 for n in got.values()) >= 26
+    assert {r.n_links for r in jaccard.jaccard_groups(df, links=False).collect()} == {None}
+
+
 def test_jaccard_odd_tables(spark, odd, empty):
     rows = jaccard.jaccard_groups(odd).collect()
     assert len(rows) == 12 and {r.component_id for r in rows if r.doc_id in (0, 1)} == {0}
