@@ -19,7 +19,7 @@ import hashlib
 import itertools
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 NEVER = np.iinfo(np.int64).max
 #: Words and chunks of a generation; a worker keeps two, and what it meets again moves to the younger.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 #: Texts that are encoded together.
-GROUP = 512
+GROUP = 1_024
 #: Keys of a trie node for the token that ends there, inside a word and at its end; characters have other keys.
 INNER, FINAL = 0, 1
 #: Anything but these needs the library's own normaliser and splitter.
@@ -259,25 +259,28 @@ class WordBpe:
         raw, ends = ids.tobytes(), (4 * ends).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _learn(self, chunks: Iterable[str]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
         """Encodes the chunks (lower case, without white space) that aren't cached."""
         if len(self.chunks) > CACHE_WORDS:
             self.old_chunks, self.chunks = self.chunks, {}
         if len(self.words) > CACHE_WORDS:
             self.old_words, self.words = self.words, {}
-        known, older, find = self.chunks, self.old_chunks, self.latin.findall
-        unknown = [c for c in chunks if c not in known]
-        known.update({c: older[c] for c in unknown if c in older})
-        split = {
-            c: find(c) if c.isascii() else [w.encode().decode("latin-1").translate(self.to_chars) for w in find(c)]
-            for c in unknown
-            if c not in known
-        }
-        words = self.words
-        wanted = {w for ws in split.values() for w in ws if w not in words}
-        words.update({w: self.old_words[w] for w in wanted if w in self.old_words})
-        new = [w for w in wanted if w not in words]
+        known, older, words, old_words, find = self.chunks, self.old_chunks, self.words, self.old_words, self.latin.findall
+        unknown = chunks.difference(known)
+        again = unknown.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        unknown -= again
+        # Letters alone are one word.
+        simple = [c for c in unknown if c.isascii() and c.isalpha()]
+        unknown.difference_update(simple)
+        split = {c: find(c) if c.isascii() else [w.encode().decode("latin-1").translate(self.to_chars) for w in find(c)] for c in unknown}
+        wanted = set(simple).union(*split.values()).difference(words)
+        again = wanted.intersection(old_words)
+        words.update(zip(again, map(old_words.__getitem__, again), strict=True))
+        wanted -= again
+        new = list(wanted)
         words.update(zip(new, self.encode_words(new), strict=True))
+        known.update(zip(simple, map(words.__getitem__, simple), strict=True))
         for c, ws in split.items():
             known[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
 
@@ -298,7 +301,7 @@ class WordBpe:
                         for j, p in enumerate(parts)
                     ]
                 )
-            self._learn({c for parts in plain for p in parts if isinstance(p, list) for c in p})
+            self._learn(set().union(*(p for parts in plain for p in parts if isinstance(p, list))))
             rare = list({w for parts in plain for p in parts if isinstance(p, tuple) for w in p[0]})
             rare_ids = dict(zip(rare, self.encode_words(rare), strict=True)) if rare else {}
             got = self.chunks.__getitem__
