@@ -2,7 +2,7 @@
 
 The subwords of a text are all three-byte windows of its lower-case letters and word borders, hashed into buckets; texts
 are never cut. The mean of their embeddings goes through a linear softmax. Both are trained by stochastic gradient
-descent in numpy on a bounded sample (SAMPLE documents of each language at most, chosen by a hash of the id, at a rate).
+descent in numpy on a bounded sample (SAMPLE documents of each language at most, chosen by a hash of id and text, at a rate).
 As everything after the mean is linear, the two matrices are folded into one for prediction.
 
 A quarter of the sample takes no part in training: on it a temperature is fitted, and the rejection level is set so
@@ -72,25 +72,49 @@ class Model:
         return [self.languages[b[0]] if b else "und" for b in pairs], [b[1] if b else 0.0 for b in pairs]
 
 
+@dataclass(frozen=True)
+class Shares:
+    """Rows of subword shares, sparse: row k holds amounts at places from starts[k] up to starts[k + 1]."""
+
+    places: np.ndarray
+    amounts: np.ndarray
+    starts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS), np.float32)
+        for k, row in enumerate(rows.tolist()):
+            some = slice(self.starts[row], self.starts[row + 1])
+            out[k, self.places[some]] = self.amounts[some]
+        return out
+
+    def times(self, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        parts = [self.dense(rows[k : k + 256]) @ table for k in range(0, len(rows), 256)]
+        return np.concatenate(parts) if parts else np.zeros((0, table.shape[1]), np.float32)
+
+
 def fit(
-    x: np.ndarray, y: np.ndarray, classes: int, epochs: int = 12, batch: int = 64, rate: float = 40.0, seed: int = 11
+    x: Shares, rows: np.ndarray, y: np.ndarray, classes: int, epochs: int = 12, batch: int = 64, rate: float = 40.0, seed: int = 11
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Folded table and bias; x: rows of subword shares."""
+    """Folded table and bias, learnt from these rows of x and their classes y."""
     rng = np.random.default_rng(seed)
-    e = rng.normal(0, 0.3, (x.shape[1], WIDTH)).astype(np.float32)
+    e = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
     w, b = rng.normal(0, 0.3, (WIDTH, classes)).astype(np.float32), np.zeros(classes, np.float32)
-    epochs = max(epochs, -(-400 * batch // max(1, len(x))))  # small samples need as many steps
+    epochs = max(epochs, -(-400 * batch // max(1, len(rows))))  # small samples need as many steps
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        order = rng.permutation(len(x))
-        for k in range(0, len(x), batch):
+        order = rng.permutation(len(rows))
+        for k in range(0, len(rows), batch):
             at = order[k : k + batch]
-            h = x[at] @ e
+            some = x.dense(rows[at])
+            h = some @ e
             g = softmax(h @ w + b)
             g[np.arange(len(at)), y[at]] -= 1
             g /= len(at)
             ge, gw = g @ w.T, h.T @ g
-            e -= step * (x[at].T @ ge)
+            e -= step * (some.T @ ge)
             w -= 0.02 * step * gw
             b -= 0.02 * step * g.sum(0)
     return e @ w, b
@@ -106,7 +130,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     rates = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, int(1_000_000 * min(1.0, sample / n)))])
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1_000_000)) < rates[F.col("label")])
+    # By a hash of id and text: rows with one id, or without, are chosen one by one; of equal rows one is taken.
+    named = known.withColumn("name", F.xxhash64("doc_id", "body", F.lit(4)))
+    chosen = named.where(F.pmod(F.col("name"), F.lit(1_000_000)) < rates[F.col("label")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,23 +143,28 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
                 places.append(at.astype(np.uint16).tobytes())
                 amounts.append(s[at].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("held"), pa.array(places, pa.binary()), pa.array(amounts, pa.binary())],
-                ["label", "held", "places", "amounts"],
+                [*(batch.column(c) for c in ("label", "held", "name")), pa.array(places, pa.binary()), pa.array(amounts, pa.binary())],
+                ["label", "held", "name", "places", "amounts"],
             )
 
-    rows = chosen.select("label", (remainder("doc_id", 12) < 3).alias("held"), "body")
-    got = rows.mapInArrow(run, "label string, held boolean, places binary, amounts binary").toArrow()
-    # Sorted, so that the fit doesn't depend on the order in which tasks end.
-    found = sorted(zip(*(got[c].to_pylist() for c in ("label", "held", "places", "amounts")), strict=True))
-    x = np.zeros((len(found), BUCKETS), np.float32)
-    for k, (_, _, p, a) in enumerate(found):
-        x[k, np.frombuffer(p, np.uint16)] = np.frombuffer(a, np.float32)
+    rows = chosen.select("label", F.coalesce(remainder("doc_id", 12) < 3, F.lit(False)).alias("held"), "name", "body")
+    made = rows.mapInArrow(run, "label string, held boolean, name bigint, places binary, amounts binary")
+    got = made.dropDuplicates(["label", "name"]).toArrow()
     place = {lang: k for k, lang in enumerate(languages)}
-    y, held = np.array([place[r[0]] for r in found], np.int64), np.array([r[1] for r in found], bool)
+    y = np.array([place[lang] for lang in got["label"].to_pylist()], np.int64)
+    held, names = np.array(got["held"].to_pylist(), bool), got["name"].to_numpy()
+    bytes_of = lambda c: [x.as_buffer() for x in got[c]]
+    spots = [np.frombuffer(p, np.uint16) for p in bytes_of("places")]
+    starts = np.cumsum([0, *map(len, spots)])
+    x = Shares(np.concatenate(spots), np.concatenate([np.frombuffer(p, np.float32) for p in bytes_of("amounts")]), starts)
+    del got, spots
+    # In an order of the texts' own, so that the fit doesn't depend on the order in which tasks end.
+    order = np.lexsort((names, y))
     if not held.any() or held.all():
-        held = np.arange(len(y)) % 4 == 3
-    table, bias = fit(x[~held], y[~held], len(languages))
-    z, right = x[held] @ table + bias, y[held]
+        held[order] = np.arange(len(y)) % 4 == 3
+    learn, rest = order[~held[order]], order[held[order]]
+    table, bias = fit(x, learn, y[learn], len(languages))
+    z, right = x.times(table, rest) + bias, y[rest]
     tried = np.exp(np.linspace(-3, 3, 61))
     loss = [-np.log(softmax(z / t)[np.arange(len(right)), right] + 1e-12).mean() if len(right) else 0.0 for t in tried]
     temperature = float(tried[int(np.argmin(loss))]) if len(right) else 1.0

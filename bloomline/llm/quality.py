@@ -7,11 +7,11 @@ p E_P[l(f)] + max(0, E_U[l(-f)] - p E_P[l(-f)]); where the second part turns neg
 
 Trusted positives are learning rows labelled 1. The class prior is the share of label 1 among learning rows. A third of
 the learning rows takes no part in the fit: on it a logistic curve turns the model's output into the probability of
-label 1. Fitting uses bounded samples (SAMPLE rows of each kind at most, chosen by a hash of the id, at a rate); scoring
+label 1. Fitting uses bounded samples (SAMPLE rows of each kind at most, chosen by a hash of id and text, at a rate); scoring
 runs over every row.
 
-Defined results: null and empty texts have all ratios 0 and get the score of such a vector; repeated label rows count
-each, rows with null label or id are no labels; without any positive label every score is the prior (0.5 if there are no
+Defined results: null and empty texts have all ratios 0 and get the score of such a vector; equal rows and equal
+labels count once in the fit, rows with null label or id are no labels; without any positive label every score is the prior (0.5 if there are no
 labels at all); columns of the input named like an output are replaced; an empty table gives none.
 """
 
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,14 +92,16 @@ def fit_pu(
     positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 800, batch: int = 512,
     rate: float = 0.01, decay: float = 1e-3, seed: int = 7,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights (the last is the constant), mean and scale of the features."""
-    mean = unlabelled.mean(0)
-    scale = unlabelled.std(0) + 0.02
-    p, u = ((x - mean) / scale for x in (positive, unlabelled))
+    """Weights (the last is the constant), mean and scale of the features. Features may be of half precision: only
+    batches of them are widened."""
+    mean = unlabelled.mean(0, dtype=np.float32)
+    square = sum((unlabelled[k : k + batch].astype(np.float32) ** 2).sum(0) for k in range(0, len(unlabelled), batch))
+    scale = np.sqrt(np.maximum(square / len(unlabelled) - mean**2, 0)) + np.float32(0.02)
+    p, u = positive, unlabelled
     rng, w = np.random.default_rng(seed), np.zeros(p.shape[1] + 1, np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        xp, xu = (x[rng.integers(len(x), size=min(batch, len(x)))] for x in (p, u))
+        xp, xu = ((x[rng.integers(len(x), size=min(batch, len(x)))] - mean) / scale for x in (p, u))
         sp, su = sigmoid(xp @ w[:-1] + w[-1]), sigmoid(xu @ w[:-1] + w[-1])
         # l(z) = sigmoid(-z); with s = sigmoid(f), l(f) = 1 - s and l(-f) = s, both of slope s (1 - s).
         dp, du = sp * (1 - sp) / len(sp), su * (1 - su) / len(su)
@@ -127,47 +130,60 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
-def sampled(ids: DataFrame, at_most: int, salt: int) -> DataFrame:
-    """About at_most rows (all, if there are fewer), chosen by a hash of doc_id."""
-    n = ids.count()
-    share = min(1.0, at_most / max(1, n))
-    return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000))
+def sampled(rows: DataFrame, at_most: int, salt: int) -> DataFrame:
+    """About at_most rows (all, if there are fewer), chosen by a hash of their name: of repeats all or none."""
+    share = min(1.0, at_most / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64("name", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
 
 
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fits the model. docs: doc_id and the text; labels: doc_id and quality, learning rows only."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
     held = remainder("doc_id", 12)  # of the learning rows, for the curve
-    fitted, curve = known.where(held >= 4), known.where(held < 4)
-    ids = docs.select("doc_id")
+    fitted, curve = known.where(held >= 4).distinct(), known.where(held < 4).distinct()
+    # A row's name is a hash of its id and text, so rows that share an id are chosen one by one.
+    texts = docs.select("doc_id", F.col(f"`{text_col}`").alias("body")).where("doc_id is not null").withColumn("name", F.xxhash64("doc_id", "body"))
+    ids = texts.select("doc_id", "name")
+    role = lambda kind, y: [F.lit(kind).alias("role"), y.cast("int").alias("y")]
     parts = [
-        sampled(fitted.where("quality = 1").join(ids, "doc_id", "left_semi"), sample, 1).select("doc_id", F.lit("p").alias("role"), F.lit(1).alias("y")),
-        sampled(ids.where("doc_id is not null"), sample, 2).select("doc_id", F.lit("u").alias("role"), F.lit(0).alias("y")),
-        sampled(curve.join(ids, "doc_id", "left_semi"), sample, 3).select("doc_id", F.lit("c").alias("role"), F.col("quality").cast("int").alias("y")),
-    ]
+        sampled(ids.join(fitted.where("quality = 1"), "doc_id").select("name", *role("p", F.lit(1))), sample, 1),
+        sampled(ids.select("name", *role("u", F.lit(0))), sample, 2),
+        sampled(ids.join(curve, "doc_id").select("name", *role("c", F.col("quality"))), sample, 3),
+    ]
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("s")).first()
     prior = counts.s / counts.n if counts.n else 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t).astype(np.float16).tobytes() for t in batch.column("body").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("role"), batch.column("y"), pa.array(x, pa.binary())], ["role", "y", "x"])
+            x = []
+            for t in batch.column("body").to_pylist():
+                row = features(t).astype(np.float16)
+                at = np.flatnonzero(row).astype(np.uint16)  # most pairs of classes never meet
+                x.append(at.tobytes() + row[at].tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("role", "y", "name")), pa.array(x, pa.binary())], ["role", "y", "name", "x"])
 
     chosen = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    # At most about three samples of ids: a proven bound for the broadcast and for what is collected.
-    texts = docs.select("doc_id", F.col(f"`{text_col}`").alias("body")).join(F.broadcast(chosen), "doc_id")
-    got = texts.select("role", "y", "body").mapInArrow(run, "role string, y int, x binary").toArrow()
-    # Sorted, so that the fit doesn't depend on the order in which tasks end.
-    rows = sorted(zip(got["role"].to_pylist(), got["y"].to_pylist(), got["x"].to_pylist(), strict=True))
-    role, y = np.array([r[0] for r in rows], str), np.array([r[1] for r in rows], float)
-    x = np.frombuffer(b"".join(r[2] for r in rows), np.float16).reshape(-1, WIDTH).astype(np.float32)
+    # At most about three samples of names: a proven bound for the broadcast and, equal rows being one, for what is collected.
+    wanted = texts.join(F.broadcast(chosen), "name").select("role", "y", "name", "body")
+    made = wanted.mapInArrow(run, "role string, y int, name bigint, x binary")
+    got = made.dropDuplicates(["role", "y", "name"]).select("role", "y", "x").toArrow()
+    role, y = np.array(got["role"].to_pylist(), str), np.array(got["y"].to_pylist(), float)
+    x, names = np.zeros((len(role), WIDTH), np.float16), np.zeros(len(role), np.uint64)
+    for k, packed in enumerate(got["x"]):
+        at, value = np.frombuffer(packed.as_buffer(), np.uint16).reshape(2, -1)
+        x[k, at] = value.view(np.float16)
+        names[k] = xxhash.xxh64_intdigest(packed.as_buffer())
+    del got
+    # In an order of the texts' own, so that the fit doesn't depend on the order in which tasks end.
+    of = lambda kind: (found := np.flatnonzero(role == kind))[np.lexsort((names[found], y[found]))]
     if not (role == "p").any() or not (role == "u").any():
         edge = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
         return Model(np.zeros(WIDTH + 1), np.zeros(WIDTH), np.ones(WIDTH), 0.0, float(edge))
-    w, mean, scale = fit_pu(x[role == "p"], x[role == "u"], prior)
+    w, mean, scale = fit_pu(x[of("p")], x[of("u")], prior)
     model = Model(w.astype(np.float32), mean, scale, 1.0, 0.0)
     if (role == "c").any():
-        slope, shift = fit_curve(model.output(x[role == "c"]).astype(float), y[role == "c"])
+        curve = of("c")
+        slope, shift = fit_curve(model.output(x[curve]).astype(float), y[curve])
         model = Model(model.weights, mean, scale, slope, shift)
     return model
 
