@@ -12,15 +12,18 @@ Skipping by set relation. Index lists are not joined with themselves. (1) Each l
 most and longest lists; every
 class is compared exactly with the hub that it shares most lists with, and takes over that hub's group if they link: the
 hub's answers are its answers. Lists of common n-grams are split into slots with a hub each, whose hubs meet again. (2)
-What is left are pairs of different groups. Lists are cut into blocks by set size, and only equal and neighbouring blocks
-meet; a pair is skipped when its sizes differ too much, when the n-gram stands so late in either set that too few can
-follow, or when both were compared with the same hub and their distances to it differ by more than 1 - t (Jaccard
-distance is a metric). The rest are compared exactly. Links inside a group don't change the groups, so without ``links``
-no list gives all its pairs.
-
-Number of links. With ``links``, pairs of the same group are met as well. Two classes whose distances to their common hub
-add up to at most 1 - t are linked for certain: these are counted by distance, without making pairs. The others that the
-bounds leave open are compared exactly, so their number may grow with the square of a group's size.
+What is left are pairs of different groups. Lists are cut into blocks by position, counted from the end of the set: the
+first n-gram that linked sets share has so much of both behind it that only equal and neighbouring blocks can meet. A pair
+is skipped when its sizes differ too much, when the n-gram stands so late in either set that too few can follow, or when
+both were compared with the same hub and their distances to it differ by more than 1 - t (Jaccard distance is a metric).
+The rest are compared exactly. Links inside a group don't change the groups, so no list gives all its pairs.
+
+Number of links. Linked classes are of one group, so ``links`` counts inside the groups, in blocks: a group's classes are
+cut by size, as only equal and neighbouring sizes can link, and large pieces into slots of bounded size by a hash. A task
+takes two blocks. It orders one of them so that neighbours are alike, and derives the overlaps of a set with all of the
+other block from those of the set before it: only the n-grams in which the two differ are looked up. Tasks return a number
+per class, never pairs. Exact numbers of links cost work with the square of a group's different texts; it is spread over
+tasks, and ``links=False`` leaves it out.
 
 Defined results: null, empty and white-space texts have the empty set and are linked with nothing; repeated rows and ids
 are kept, each row is listed; rows with null id are listed, never name a group, and are linked only where a row with an
@@ -46,8 +49,10 @@ COMMON = 2
 COMMON_AT_MOST = 500_000
 #: A list longer than this is dealt into slots.
 SLOT_ROWS = 2_000
-#: Distances to a hub are added up in whole billionths, rounded up.
-BILLION = 1_000_000_000
+#: Sets and n-grams of a block in which links are counted.
+BLOCK_SETS, BLOCK_GRAMS = 1_000, 1_000_000
+#: N-grams that a task looks up at a time.
+LOOKED_UP = 1 << 15
 #: Rows of a broadcast join's small side; beyond that the sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -249,17 +254,76 @@ def roots(links: DataFrame) -> DataFrame:
             return labels
 
 
-def certain_links(known: DataFrame, reach: int) -> DataFrame:
-    """sid and n, the other classes of its hub whose distance and its own add up to at most reach. known: sid, anchor and
-    parts (the distance), one row per class. Pairs aren't made: equal distances are counted first, then summed in order."""
-    near = known.where(F.col("parts") <= reach)
-    some = near.groupBy("anchor", "parts").agg(F.count(F.lit(1)).alias("k"))
-    here = some.select("anchor", "parts", F.col("parts").alias("at"), F.lit(0).alias("asks"), "k")
-    asked = some.select("anchor", "parts", (F.lit(reach) - F.col("parts")).alias("at"), F.lit(1).alias("asks"), F.lit(0).cast("bigint").alias("k"))
-    upto = Window.partitionBy("anchor").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
-    sums = here.union(asked).withColumn("within", F.sum("k").over(upto)).where("asks = 1").select("anchor", "parts", "within")
-    itself = F.when(F.col("parts") * 2 <= reach, 1).otherwise(0)
-    return near.join(sums, ["anchor", "parts"]).select("sid", (F.col("within") - itself).alias("n")).where("n > 0")
+def overlaps(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of rows with each of others (sorted n-grams)."""
+    out = np.zeros((len(rows), len(others)), np.int32)
+    theirs, ours = np.concatenate(others), np.concatenate(rows)
+    known = np.intersect1d(theirs, ours)
+    place = lambda sets: [np.searchsorted(known, s[np.isin(s, known, assume_unique=True)]) for s in sets]
+    rows_at, others_at = place(rows), place(others)
+    for low in range(0, len(known), LOOKED_UP):
+        high = min(low + LOOKED_UP, len(known))
+        cut = lambda s: s[np.searchsorted(s, low) : np.searchsorted(s, high)] - low
+        found = np.zeros((high - low, len(others)), np.uint8)
+        for k, s in enumerate(others_at):
+            found[cut(s), k] = 1
+        sums, before = np.zeros(len(others), np.int32), np.zeros(0, np.int64)
+        for k, s in enumerate(rows_at):
+            now = cut(s)
+            gone, new = np.setdiff1d(before, now, True), np.setdiff1d(now, before, True)
+            if len(gone) + len(new) < len(now):
+                sums = sums + found[new].sum(0, dtype=np.int32) - found[gone].sum(0, dtype=np.int32)
+            else:
+                sums = found[now].sum(0, dtype=np.int32)
+            out[k] += sums
+            before = now
+    return out
+
+
+def count_links(docs: DataFrame, groups: DataFrame, sizes: DataFrame, first_of: DataFrame, width: int, percent: int) -> DataFrame:
+    """sid and n_links, the other classes that each class of groups (sid, root) is linked with."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent * (1 + 1e-6)))).cast("int")
+    banded = stored(groups.join(sizes, "sid").select("sid", "root", "n", band.alias("band")), "jaccard-banded")
+    slots = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)), F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int")
+    pieces = banded.groupBy("root", "band").agg(slots.alias("slots"))
+    beside = pieces.select("root", (F.col("band") - 1).alias("band"), F.col("slots").alias("above"))
+    below = pieces.select("root", (F.col("band") + 1).alias("band"), F.col("slots").alias("below"))
+    sized = stored(pieces.join(beside, ["root", "band"], "left").join(below, ["root", "band"], "left").na.fill(0, ["above", "below"]), "jaccard-pieces")
+    slot = F.pmod(F.xxhash64("sid", F.lit(7)), F.col("slots")).cast("int")
+    meeting = lambda band, low, high, first: F.struct(band.alias("band"), low.alias("low"), high.alias("high"), first.alias("first"))
+    # Slots of one band meet as (smaller, larger) slot; neighbouring bands as (slot of the lower, slot of the higher) band.
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    mine = F.transform(upto(F.col("slots")), lambda k: meeting(F.col("band") * 2, F.least(k, F.col("slot")), F.greatest(k, F.col("slot")), F.col("slot") <= k))
+    higher = F.transform(upto(F.col("above")), lambda k: meeting(F.col("band") * 2 + 1, F.col("slot"), k, F.lit(True)))
+    lower = F.transform(upto(F.col("below")), lambda k: meeting(F.col("band") * 2 - 1, k, F.col("slot"), F.lit(False)))
+    dealt = banded.join(sized, ["root", "band"]).withColumn("slot", slot)
+    dealt = dealt.select("sid", "root", "n", F.explode(F.concat(mine, higher, lower)).alias("m")).select("sid", "root", "n", "m.*")
+
+    chosen = stored(first_of.join(banded.select("sid"), "sid").select("sid", "id"), "jaccard-members")
+    sets = class_sets(sized_join(docs.where("id is not null"), chosen, "id", "inner"), width).dropDuplicates(["sid"])
+
+    def count(table: pa.Table) -> pa.Table:
+        sid, n, first = (table[c].to_numpy() for c in ("sid", "n", "first"))
+        grams = [np.sort(np.array(g.values.to_numpy(), np.int64)) for g in table["grams"]]
+        one_block = table["low"][0].as_py() == table["high"][0].as_py() and table["band"][0].as_py() % 2 == 0
+        order = np.lexsort((n, np.array([g[0] for g in grams])))  # alike sets often share their least n-gram
+        a = order if one_block else order[first[order]]
+        b = order if one_block else order[~first[order]]
+        links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        if len(a) and len(b):
+            common = overlaps([grams[k] for k in a], [grams[k] for k in b]).astype(np.int64)
+            linked = 100 * common >= percent * (n[a][:, None] + n[b][None] - common)
+            if one_block:
+                np.fill_diagonal(linked, False)
+            else:
+                links_b = linked.sum(0)
+            links_a = linked.sum(1)
+        found = np.r_[links_a, links_b]
+        some = found > 0
+        return pa.table({"sid": pa.array(np.r_[sid[a], sid[b]][some]), "n_links": pa.array(found[some])})
+
+    blocks = dealt.join(sets, "sid").groupBy("root", "band", "low", "high")
+    return blocks.applyInArrow(count, "sid bigint, n_links bigint").groupBy("sid").agg(F.sum("n_links").alias("n_links"))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, links: bool = True) -> DataFrame:
@@ -314,10 +378,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = roots(compared.where("linked"))
 
     away = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    known = compared.select(F.col("b").alias("sid"), F.col("a").alias("anchor"), (1 - away).alias("away")).withColumn(
-        "parts", F.ceil(F.col("away") * BILLION) + 1
-    )
-    reach = (100 - percent) * (BILLION // 100)
+    known = compared.select(F.col("b").alias("sid"), F.col("a").alias("anchor"), (1 - away).alias("away"))
     placed = (
         lists.select("gram", "sid", "n", "pos")
         .join(groups, "sid", "left")
@@ -325,9 +386,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("root", F.coalesce("root", "sid"))
         .distinct()
     )
-    side = "sid" if links else "root"
-    spread = placed.groupBy("gram").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low <> high").select("gram")
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)))
+    spread = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram")
+    # A little wider than the bound, so that rounding can't move neighbours apart.
+    block = F.floor(F.log((F.col("n") - F.col("pos")).cast("double")) / F.log(F.lit(100 / percent * (1 + 1e-6))))
     mixed = stored(placed.join(spread, "gram", "left_semi").withColumn("block", block), "jaccard-mixed")
     x = mixed.select([F.col(c).alias(f"{c}_x") for c in mixed.columns]).withColumn("at_x", F.explode(F.array(F.col("block_x"), F.col("block_x") + 1)))
     y = mixed.select([F.col(c).alias(f"{c}_y") for c in mixed.columns])
@@ -338,18 +399,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     early = (F.col("pos_x") + least <= F.col("n_x")) & (F.col("pos_y") + least <= F.col("n_y"))
     pairs = (
         x.join(y, (F.col("gram_x") == F.col("gram_y")) & (F.col("at_x") == F.col("block_y")) & early)
-        .where(F.col(f"{side}_x") != F.col(f"{side}_y"))
+        .where(F.col("root_x") != F.col("root_y"))
         .where(~same_block | (F.col("sid_x") < F.col("sid_y")))
         .where(fits(F.col("n_x"), F.col("n_y")))
         .where(~apart | (F.abs(F.col("away_x") - F.col("away_y")) <= F.lit(1 - percent / 100 + 1e-9)))
-        .where(~apart | (F.col("parts_x") + F.col("parts_y") > reach))
         .select(F.col("sid_x").alias("a"), F.col("sid_y").alias("b"), F.col("n_x").alias("na"), F.col("n_y").alias("nb"))
         .distinct()
     )
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    if links:
-        seen = ordered(compared).distinct().select(F.col("a").alias("low"), F.col("b").alias("high"))
-        pairs = pairs.join(seen, (F.least("a", "b") == F.col("low")) & (F.greatest("a", "b") == F.col("high")), "left_anti")
     crossing = stored(pairs, "jaccard-cross-pairs")
     linked = ordered(compared.where("linked")).distinct()
     if crossing.limit(1).count():
@@ -357,14 +414,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         linked = linked.union(ordered(found.where("linked"))).distinct()
         groups = roots(linked)
 
+    number = F.lit(None).cast("bigint")
     if links:
-        ends = linked.select(F.col("a").alias("sid")).union(linked.select(F.col("b").alias("sid")))
-        counted = ends.groupBy("sid").agg(F.count(F.lit(1)).alias("n")).union(certain_links(known, reach))
+        sizes = signed.where("sid is not null").groupBy("sid").agg(F.min("n").alias("n"))
+        links_of = stored(count_links(rows, groups, sizes, first_of, width, percent), "jaccard-links")
         number = F.coalesce("n_links", F.lit(0))
-        links_of = counted.groupBy("sid").agg(F.sum("n").alias("n_links"))
-    else:
-        number = F.lit(None).cast("bigint")
-        links_of = None
     classes = (
         signed.where("sid is not null").groupBy("sid").agg(F.min("id").alias("id"))
         .join(groups, "sid", "left")
@@ -372,7 +426,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     names = classes.groupBy("root").agg(F.min("id").alias("component_id"))
     by_class = classes.select("sid", "root").join(names, "root").drop("root")
-    if links_of is not None:
+    if links:
         by_class = by_class.join(links_of, "sid", "left")
     return signed.join(by_class, "sid", "left").select(
         F.col("id").alias("doc_id"),
