@@ -1,5 +1,5 @@
 """Chat formatting: a finite-state machine over roles checks turn order; a declarative template writes text segments
-with loss flags (DataFrame functions only).
+with loss flags (DataFrame functions only). A conversation becomes one row, so its turns meet in one task.
 
 Every turn is written as ``opener + " " + text + " " + closer``. Inside a text each control string gets one backslash in
 front; a control string of the template always follows a space or the start, never a backslash, so reading back is
@@ -7,7 +7,7 @@ exact: split at unescaped control strings, then take that one backslash away.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; repeated rows stay; null text is empty and null
 role is the empty role; roles that the template does not name are written by its generic marker, whose text starts with
-the escaped role and a line break; rows with null conversation id form one conversation; an empty table gives none.
+the role's length and a line break, then the escaped role and text; rows with null conversation id form one conversation; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -95,8 +95,9 @@ def format_chats(
         known = x.role.isin(*t.markers)
         opener = F.coalesce(_lookup({r: m[0] for r, m in t.markers.items()}, x.role), F.lit(t.other[0]))
         closer = F.coalesce(_lookup({r: m[1] for r, m in t.markers.items()}, x.role), F.lit(t.other[1]))
+        # A role may hold any character, line breaks too: its length says where the text begins.
         body = F.when(known, escape(x.text, t)).otherwise(
-            F.concat(escape(F.concat(x.role, F.lit("\n"), x.text), t))
+            escape(F.concat(F.length(x.role).cast("string"), F.lit("\n"), x.role, x.text), t)
         )
         segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
         return F.array(
@@ -134,9 +135,10 @@ def read_chats(formatted: DataFrame, template: Template | None = None) -> DataFr
     def turn(mark: Column, body: Column) -> Column:
         text, role = unescape(body, t), _lookup(openers, mark)
         cut = F.instr(text, "\n")
+        size = F.substring(text, F.lit(1), cut - 1).try_cast("int")
         return F.struct(
-            F.coalesce(role, F.substring(text, F.lit(1), cut - 1)).alias("role"),
-            F.when(role.isNotNull(), text).otherwise(F.substring(text, cut + 1, F.length(text))).alias("text"),
+            F.coalesce(role, F.substring(text, cut + 1, size)).alias("role"),
+            F.when(role.isNotNull(), text).otherwise(F.substring(text, cut + 1 + size, F.length(text))).alias("text"),
         )
 
     masked = F.filter("segments", lambda s: s.loss)

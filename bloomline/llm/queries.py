@@ -52,7 +52,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(quality.remainder("doc_id", 3) == 1, F.lit(False))
     predicted = langid.predict(docs.select("doc_id", "text"), langid.train(docs.where(~held_out)))
-    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("bigint").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "valid",
+        F.col("bad_turn").cast("bigint").alias("bad_turn"),
     )
 
 
@@ -88,19 +90,26 @@ with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed as (
+  select *, row_number() over same - 1 as place, lag(role) over same as before, lead(role) over same is null as last
+  from turns window same as (partition by conv_id order by turn nulls first, role, text)
 ), written as (
   select *, role || chr(10) || text || chr(10) as line,
-    length(regexp_replace(case when role in ('system', 'user', 'assistant') then text else role || chr(10) || text end,
+    length(regexp_replace(case when role in ('system', 'user', 'assistant') then text else length(role) || chr(10) || role || text end,
       '(<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<TURN>>|<</TURN>>)', '\\\1', 'g'))
-    + case role when 'system' then 17 when 'user' then 15 when 'assistant' then 9 else 19 end as size
-  from turns
+    + case role when 'system' then 17 when 'user' then 15 when 'assistant' then 9 else 19 end as size,
+    case coalesce(before, '') when '' then role in ('system', 'user') and place = 0 when 'system' then role = 'user'
+      when 'user' then role = 'assistant' when 'assistant' then role = 'user' else false end as good
+  from placed
 )
 select conv_id, count(*) as n_turns,
   sha256(string_agg(line, '' order by turn nulls first, role, text)) as turns_sha256,
   cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), ''))
     as loss_sha256,
-  cast(sum(size) as bigint) as formatted_chars
+  cast(sum(size) as bigint) as formatted_chars,
+  coalesce(bool_and(good) and bool_or(last and role in ('user', 'assistant')), false) as valid,
+  min(place) filter (where not good) as bad_turn
 from written group by conv_id
 """
 
@@ -127,12 +136,20 @@ from d window same as (partition by body)
 """
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cropped and edited copies of every 50th picture, searched among the pictures of all embeddings."""
+    """Every picture with its class; and for every 50th, edited and cropped, the classes where copies of it were found."""
     from bloomline.llm.media import find_copies, pictures
 
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     asked = pictures(vectors.where("vec_id % 50 = 0"), "vec_id", "embedding", edited=True)
-    return find_copies(asked, pictures(vectors, "vec_id", "embedding"))
+    found, members = find_copies(asked, pictures(vectors, "vec_id", "embedding"))
+    listed = found.groupBy(F.col("query_id").alias("media_id")).agg(F.sort_array(F.collect_list(F.struct("class_id", "votes"))).alias("found"))
+    return members.join(listed, "media_id", "left").select(
+        F.col("media_id").alias("vec_id"),
+        "class_id",
+        "copies",
+        F.when(F.col("media_id") % 50 == 0, F.coalesce("found.class_id", F.array().cast("array<bigint>"))).alias("found_ids"),
+        F.when(F.col("media_id") % 50 == 0, F.coalesce("found.votes", F.array().cast("array<int>"))).alias("found_votes"),
+    )
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

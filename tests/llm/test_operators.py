@@ -189,9 +189,11 @@ def test_jaccard_groups_equal_brute_force(spark, monkeypatch, seed, slot):
     assert got == brute_groups(texts)
 
 
-@pytest.mark.parametrize("slot", [2_000, 5])
-def test_jaccard_counts_all_links(spark, monkeypatch, slot):
+@pytest.mark.parametrize(("slot", "block", "limit"), [(2_000, 1_000, 1_000_000), (5, 4, 0)])
+def test_jaccard_counts_all_links(spark, monkeypatch, slot, block, limit):
     monkeypatch.setattr(jaccard, "SLOT_ROWS", slot)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", limit)
     rng = random.Random(11)
     base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
     near = [" ".join([*base[:k], f"x{j}", *base[k + 1 :]]) for j, k in enumerate(rng.sample(range(200), 25))]
@@ -354,18 +356,73 @@ def test_style_tree_decides_inside_articles(spark, limit):
 # 9. Media
 
 
-def test_media_finds_edited_copies(spark):
+def drawn(vectors):
+    rows = vectors.select("id", "width", "height", "pixels").toPandas()
+    return [np.frombuffer(p, np.uint8).reshape(h, w) if p else np.zeros((0, 0), np.uint8) for w, h, p in zip(rows.width, rows.height, rows.pixels, strict=True)]
+
+
+def packed_corners(images):
+    out = []
+    for image in images:
+        d = media.describe(image[None])
+        corners = np.zeros(len(d["image"]), media.CORNER)
+        corners["w"] = d["words"]
+        for name in ("x", "y", "scale", "angle"):
+            corners[name] = d[name]
+        out.append(corners)
+    return out
+
+
+def test_media_recall_against_brute_force(spark):
+    """Every 50th picture of a table with groups of near copies, its edited copy held against all pictures."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(120, 32))
+    vectors = np.concatenate([centres, centres[7] + 0.15 * rng.normal(size=(80, 32)), centres[:40] + 0.15 * rng.normal(size=(40, 32))])
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3).cache()
+    asked = media.pictures(df.where("vec_id % 10 = 0"), "vec_id", "embedding", edited=True)
+    stock = media.pictures(df, "vec_id", "embedding")
+    found, members = (x.collect() for x in media.find_copies(asked, stock))
+    class_of = {r.media_id: r.class_id for r in members}
+    assert sorted(class_of) == list(range(240))
+    assert max(Counter(class_of.values()).values()) >= 60  # the group is one class, not a row per pair
+    hits = {(r.query_id, r.class_id) for r in found}
+    sides = [(x.select("id").toPandas().id.tolist(), packed_corners(drawn(x))) for x in (asked, stock)]
+    pairs = [(q, m) for q, a in zip(*sides[0], strict=True) for m, b in zip(*sides[1], strict=True) if media.agreement(a, b, media.NEAR) >= media.VOTES]
+    assert len(pairs) > 24
+    assert sum((q, class_of[m]) in hits for q, m in pairs) / len(pairs) >= 0.9
+    # Nothing is put together that is unlike: members of a class come from one centre.
+    origin = lambda k: k if k < 120 else 7 if k < 200 else k - 200
+    assert all(origin(m) == origin(c) for m, c in class_of.items())
+
+
+def test_media_finds_turned_and_resized_copies(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(k, rng.normal(size=32).tolist()) for k in range(30)], "vec_id bigint, embedding array<double>")
+    images = drawn(media.pictures(df, "vec_id", "embedding"))
+    for change in (np.rot90, lambda x: media._resized(x[None].astype(np.float32), 1.41)[0].astype(np.uint8)):
+        pairs = zip(packed_corners([np.ascontiguousarray(change(x)) for x in images]), packed_corners(images), strict=True)
+        assert sum(media.agreement(a, b, media.NEAR) >= media.VOTES for a, b in pairs) >= 27
+
+
+def test_media_odd_tables(spark, monkeypatch):
     rng = np.random.default_rng(4)
-    rows = [(k, rng.normal(size=16).tolist()) for k in range(30)] + [(30, None), (31, [])]
-    rows += [(32, rows[7][1])]
-    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    rows = [(k, rng.normal(size=16).tolist(), "x") for k in range(30)] + [(30, None, "x"), (31, [], "x"), (None, [1.0] * 16, "x")]
+    rows += [(32, rows[7][1], "x"), (32, rows[7][1], "x"), (3, rows[9][1], "x")]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, class_id string").repartition(3)
     stock = media.pictures(vectors, "vec_id", "embedding")
     asked = media.pictures(vectors.where("vec_id % 3 = 1"), "vec_id", "embedding", edited=True)
-    found = {(r.query_id, r.media_id) for r in media.find_copies(asked, stock).collect()}
-    wanted = {(k, k) for k in range(1, 30, 3)}
-    assert len(found & wanted) / len(wanted) >= 0.9
-    assert {r.copies for r in media.find_copies(asked, stock).where("media_id = 7").collect()} == {2}
-    assert media.find_copies(asked.where("false"), stock).count() == 0
+    results = []
+    for limit in (1_000_000, 0):
+        monkeypatch.setattr(media, "BROADCAST_ROWS", limit)
+        found, members = (x.collect() for x in media.find_copies(asked, stock))
+        results.append((sorted(map(tuple, found)), sorted(map(tuple, members))))
+    assert results[0] == results[1]
+    assert {(r.media_id, r.class_id, r.copies) for r in members if r.media_id in (7, 32)} == {(7, 7, 3), (32, 7, 3)}
+    assert {r.class_id for r in members if r.media_id in (30, 31)} == {30}  # both without pixels
+    assert sorted(r.class_id for r in members if r.media_id in (3, 9)) == [3, 3, 3]  # 3 has two pictures, one is that of 9
+    none, every = media.find_copies(asked.where("false"), stock.where("false"))
+    assert none.count() == 0 and every.count() == 0
 
 
 # 10. WARC
