@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ def _accents() -> tuple[str, str]:
 
 MARKED, PLAIN = _accents()
 COMBINING = "".join(map(chr, range(0x300, 0x370)))
+#: White space other than the space itself, as regular expressions know it.
+ODD_SPACE = "\t\n\x0b\f\r"
 
 
 def fix_mojibake(x: Column) -> Column:
@@ -37,19 +40,30 @@ def strip_accents(x: Column) -> Column:
     return F.translate(x, MARKED + COMBINING, PLAIN)
 
 
+def apart(x: Column, steps: Callable[[Column], Column]) -> Column:
+    """steps(x), evaluated on its own. A higher-order function stays out of whole-stage code: with dozens of text steps in one
+    projection its methods would be too long for the JIT compiler, and many times slower. It needs no setting of the session."""
+    return F.transform(F.array(x), steps)[0]
+
+
 def normalize_text(x: Column) -> Column:
-    """x: a column or cheap expression. Plain ASCII skips the work on accents."""
-    text = x.cast("string")
-    plain = F.when(F.octet_length(text) > F.char_length(text), strip_accents(fix_mojibake(text))).otherwise(text)
-    spaced = F.trim(F.regexp_replace(F.lower(plain), "\\s{2,}|[^\\S ]", " "))
-    # Each step uses the one before once: expressions that repeat their input grow beyond what codegen compiles.
-    return F.coalesce(F.regexp_replace(spaced, "^(nan)?$", MISSING), F.lit(MISSING))
+    """Plain ASCII skips the work on accents."""
+
+    def spaced(text: Column) -> Column:
+        plain = F.when(F.octet_length(text) > F.char_length(text), strip_accents(fix_mojibake(text))).otherwise(text)
+        return F.lower(plain)
+
+    # A regular expression costs more than all the rest: most texts have no run of spaces and no other white space.
+    odd = lambda t: F.contains(t, F.lit("  ")) | (F.translate(t, ODD_SPACE, "") != t)
+    even = lambda t: F.trim(F.when(odd(t), F.regexp_replace(t, "\\s{2,}|[^\\S ]", " ")).otherwise(t))
+    named = lambda t: F.when(t.isin("", "nan"), MISSING).otherwise(t)
+    return F.coalesce(apart(apart(apart(x.cast("string"), spaced), even), named), F.lit(MISSING))
 
 
 def key_of(x: Column) -> Column:
     """A key from text that is normalised already."""
     key = F.btrim(F.regexp_replace(x, "[^a-z0-9]+", "_"), F.lit("_"))
-    return F.regexp_replace(key, "^$", MISSING)
+    return apart(key, lambda t: F.when(t == "", MISSING).otherwise(t))
 
 
 def normalize_key(x: Column) -> Column:
@@ -62,8 +76,8 @@ def combine_key(*columns: str) -> Column:
 
 
 def to_number(x: Column) -> Column:
-    digits = F.regexp_replace(F.regexp_replace(x.cast("string"), ",", "."), "[^0-9\\-.]", "")
-    return F.coalesce(digits.try_cast("double"), F.lit(0.0))
+    digits = lambda t: F.regexp_replace(F.regexp_replace(t, ",", "."), "[^0-9\\-.]", "")
+    return apart(x.cast("string"), lambda t: F.coalesce(digits(t).try_cast("double"), F.lit(0.0)))
 
 
 def ratio(a: Column, b: Column) -> Column:

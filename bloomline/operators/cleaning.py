@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from bloomline.functions.text import (
-    MISSING, calendar, combine_key, date_from, key_of, normalize_key, normalize_text, to_number,
+    MISSING, apart, calendar, combine_key, date_from, key_of, normalize_key, normalize_text, to_number,
 )
 
 # Spellings of source columns (compared without case and separators) and their names here.
@@ -49,9 +50,6 @@ EXPLICIT_MARKS = [
     ("RAINBOW", "rainbow", r"\brainbow\b"),
 ]
 MARKS = [
-    ("RAINBOW", "rainbow", r"\brainbow\b"),
-    ("COMBO", "combo", r"\bcombo\b"),
-    ("BQT", "bqt", r"\bbqt\b"),
     ("SURTIDO_M", "surtido_m", r"""surtido\s*["']?m["']?\b|mixed\s*m\b|\bmixed\s+special\b"""),
     ("SURTIDO", "surtido_general", r"\bsurtido\b|\bmixed\b|\bmix\b|\bassorted\b|\bassort\b|\basstd\b"),
     ("BOUQUET", "bouquet", r"\bbouquet\b"),
@@ -116,10 +114,14 @@ def state_columns(state: Column) -> dict[str, Column]:
 
 def _first_mark(raw: Column, marks) -> Column:
     """Place of the first mark that the text has, from 1; null for none."""
-    out = F.when(raw.rlike(marks[0][2]), 1)
-    for k, m in enumerate(marks[1:], 2):
-        out = out.when(raw.rlike(m[2]), k)
-    return out
+
+    def place(text: Column) -> Column:
+        out = F.when(text.rlike(marks[0][2]), 1)
+        for k, m in enumerate(marks[1:], 2):
+            out = out.when(text.rlike(m[2]), k)
+        return out
+
+    return apart(raw, place)
 
 
 def _of_mark(marks, column: int, place: Column) -> Column:
@@ -213,7 +215,8 @@ def typed_orders(raw: DataFrame) -> DataFrame:
         normalize_text(F.concat(own_code, F.lit(" | "), client)).alias("client_key"),
         F.coalesce(F.col("order_id").cast("string"), F.lit(MISSING)).alias("order_id"),
         *[normalize_text(F.col(c)).alias(c) for c in TEXTS],
-        *[to_number(F.col(c)).alias(c) for c in NUMBERS],
+        # Numbers need no reading as text.
+        *[(F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) if isinstance(dated.schema[c].dataType, NumericType) else to_number(F.col(c))).alias(c) for c in NUMBERS],
         *[x.alias(n) for n, x in state_columns(F.col("state")).items()],
         *[x.alias(n) for n, x in calendar(F.col("order_date")).items()],
     )

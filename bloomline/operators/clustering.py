@@ -7,13 +7,15 @@ import functools
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bloomline.functions.text import ratio
 from bloomline.operators.cleaning import classify_market
-from bloomline.operators.profile import CLIENT, client_type_shares, entropy, top_share
+from bloomline.operators.profile import CLIENT, client_type_shares, entropies, top_shares
 from bloomline.operators.structures import since
+from bloomline.sources.tables import stored
 
 # Weights of the feature blocks.
 BLOCKS = {
@@ -45,7 +47,7 @@ def cluster_features(df: DataFrame) -> DataFrame:
     )
     weekly = df.groupBy(*CLIENT, "year_week").agg(F.sum("stems").alias("s"))
     spread = weekly.groupBy(*CLIENT).agg(ratio(F.coalesce(F.stddev_samp("s"), F.lit(0.0)), F.avg("s")).alias("cv"))
-    parts = [base, spread, top_share(df, "color", 3, "top3_color"), top_share(df, "product", 3, "top3_product"), entropy(df, CLIENT, "color", "entropy_color"), entropy(df, CLIENT, "product", "entropy_product"), client_type_shares(df)]
+    parts = [base, spread, top_shares(df, [("color", 3, "top3_color"), ("product", 3, "top3_product")]), entropies(df, ["color", "product"]), client_type_shares(df)]
     joined = functools.reduce(lambda a, b: a.join(b, CLIENT), parts)
     return joined.withColumn("market_share", ratio(F.col("stems"), F.sum("stems").over(Window.partitionBy("market"))))
 
@@ -65,10 +67,26 @@ def vectors(matrix: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{c}" for c in BLOCKS], outputCol="x").transform(matrix)
 
 
-def candidate_clusters(matrix: DataFrame, market: str, most: int = 6, seed: int = 42) -> list[tuple[str, int, DataFrame, float, list[int]]]:
-    """(method, k, assignments, silhouette, sizes) of a market's candidates: k-means, and bisecting k-means as the scalable
-    hierarchical method."""
-    rows = vectors(matrix.where(F.col("market") == market)).persist()
+def calinski_harabasz(found: DataFrame, size: int) -> float:
+    """Between-cluster over within-cluster squared distances of x, each by its degrees of freedom; 0 where undefined.
+
+    One pass: with n, the sum and the squared length of each cluster's vectors, both follow."""
+    place = F.posexplode(vector_to_array("x"))
+    long = found.select("cluster", place.alias("place", "v"))
+    per = long.groupBy("cluster", "place").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.count(F.lit(1)).alias("n"))
+    rows = per.collect()  # clusters x features
+    k, places = len({r.cluster for r in rows}), {r.place for r in rows}
+    within = sum(r.q - r.s * r.s / r.n for r in rows)
+    total = sum(sum(r.q for r in rows if r.place == p) - sum(r.s for r in rows if r.place == p) ** 2 / size for p in places)
+    return float((total - within) / (k - 1) / (within / (size - k))) if within > 0 and 1 < k < size else 0.0
+
+
+def candidate_clusters(matrix: DataFrame, market: str, most: int = 6, seed: int = 42) -> list[tuple]:
+    """(method, k, assignments, silhouette, sizes, calinski) of a market's candidates: k-means, and bisecting k-means as the
+    hierarchical method that scales (it splits from the top, so its clusters can differ from those of Ward's merging).
+
+    Fits run one after another: k candidates of two methods, each a few passes over one market's clients."""
+    rows = stored(vectors(matrix.where(F.col("market") == market)), "cluster-rows")
     n, out = rows.count(), []
     evaluator = ClusteringEvaluator(featuresCol="x", predictionCol="cluster")
     for k in range(2, min(most, n - 1) + 1):
@@ -76,33 +94,36 @@ def candidate_clusters(matrix: DataFrame, market: str, most: int = 6, seed: int
             found = model(featuresCol="x", predictionCol="cluster", k=k, seed=seed).fit(rows).transform(rows)
             sizes = [r.n for r in found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()]  # k rows
             if len(sizes) > 1:
-                out.append((method, k, found, float(evaluator.evaluate(found)), sizes))
+                out.append((method, k, found, float(evaluator.evaluate(found)), sizes, calinski_harabasz(found, n)))
     return out
 
 
-def cluster_selection(candidates: list, n: int) -> tuple | None:
-    """The candidate of the highest score: silhouette less penalties for singletons and for one dominant cluster."""
+def selection_score(silhouette: float, sizes: list[int], n: int) -> float:
+    """Silhouette less a penalty for each cluster of one client and for a cluster of more than 80 % of them."""
+    dominance = max(0.0, max(sizes) / n - 0.8) / 0.2
+    return silhouette - SINGLETON_PENALTY * sum(s == 1 for s in sizes) - DOMINANCE_PENALTY * dominance
 
-    def score(c) -> tuple:
-        singles = sum(s == 1 for s in c[4]) / len(c[4])
-        dominance = max(0.0, max(c[4]) / n - 0.8) / 0.2
-        return c[3] - SINGLETON_PENALTY * singles - DOMINANCE_PENALTY * dominance, c[3], c[0] == "kmeans", -c[1]
 
-    return max(candidates, key=score, default=None)
+def cluster_selection(candidates: list, n: int) -> tuple | None:
+    """The candidate of the highest score; of equal ones that of the higher silhouette, then Calinski-Harabasz index, then
+    k-means, then the fewest clusters."""
+    return max(candidates, key=lambda c: (selection_score(c[3], c[4], n), c[3], c[5], c[0] == "kmeans", -c[1]), default=None)
 
 
 def cluster_assignments(features: DataFrame, least_clients: int = 4) -> DataFrame:
-    """Per client its market's chosen cluster; markets with few clients stay one cluster."""
-    matrix = weighted_matrix(features).persist()
+    """Per client its market's chosen cluster; markets with few clients stay one cluster. Fits while the plan is made."""
+    matrix = stored(weighted_matrix(features), "cluster-matrix")
     sizes = {r.market: r.n for r in matrix.groupBy("market").agg(F.count(F.lit(1)).alias("n")).collect()}  # five markets
     out = None
     for market, n in sorted(sizes.items()):
         chosen = cluster_selection(candidate_clusters(matrix, market), n) if n >= least_clients else None
         if chosen:
             label = F.concat(F.lit(f"{market}_C"), F.lpad((F.col("cluster") + 1).cast("string"), 2, "0"))
-            part = chosen[2].select(*CLIENT, "market", label.alias("cluster_id"), F.lit(chosen[0]).alias("method"), F.lit(chosen[1]).alias("k"))
+            figures = {"method": chosen[0], "k": chosen[1], "silhouette": chosen[3], "calinski": chosen[5]}
+            part = chosen[2].select(*CLIENT, "market", label.alias("cluster_id"), *[F.lit(v).alias(c) for c, v in figures.items()])
         else:
-            part = matrix.where(F.col("market") == market).select(*CLIENT, "market", F.lit(f"{market}_SIN_CLUSTER").alias("cluster_id"), F.lit("none").alias("method"), F.lit(1).alias("k"))
+            none = [F.lit("none").alias("method"), F.lit(1).alias("k"), *[F.lit(None).cast("double").alias(c) for c in ("silhouette", "calinski")]]
+            part = matrix.where(F.col("market") == market).select(*CLIENT, "market", F.lit(f"{market}_SIN_CLUSTER").alias("cluster_id"), *none)
         out = part if out is None else out.unionByName(part)
     return out
 

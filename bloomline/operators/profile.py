@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bloomline.functions.text import ratio
+from bloomline.sources.tables import stored
 
 CLIENT = ["client_code", "client"]
 WINDOWS = (8, 12, 26, 52)
@@ -81,55 +82,70 @@ def client_recency(df: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFra
     )
 
 
-def top_share(df: DataFrame, column: str, n: int, name: str) -> DataFrame:
-    """Share of a client's stems in its n largest values; ties by value."""
-    per = df.groupBy(*CLIENT, column).agg(F.sum("stems").alias("s"))
-    place = F.row_number().over(Window.partitionBy(*CLIENT).orderBy(F.desc("s"), column))
+def long_form(df: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """A row per line and column: client, keys, dimension (the column's name), value, stems. The lines are read once, however
+    many columns a figure is wanted for, and grouping by dimension combines them before the shuffle."""
+    columns = list(dict.fromkeys(columns))
+    narrow = df.select(*CLIENT, *keys, "stems", *[F.col(c).cast("string").alias(f"v_{c}") for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(f"v_{c}").alias("value")) for c in columns])
+    return narrow.select(*CLIENT, *keys, "stems", F.inline(pairs))
+
+
+def top_shares(df: DataFrame, wanted: list[tuple[str, int, str]]) -> DataFrame:
+    """Shares of a client's stems in the n largest values of columns; ties by value. wanted: column, n, name."""
+    per = long_form(df, [c for c, _, _ in wanted]).groupBy(*CLIENT, "dimension", "value").agg(F.sum("stems").alias("s"))
+    place = F.row_number().over(Window.partitionBy(*CLIENT, "dimension").orderBy(F.desc("s"), "value"))
     ranked = per.withColumn("place", place)
-    top = F.sum(F.when(F.col("place") <= n, F.col("s")))
-    return ranked.groupBy(*CLIENT).agg(ratio(top, F.sum("s")).alias(name))
+    of = lambda c: F.col("dimension") == c
+    top = lambda c, n: F.sum(F.when(of(c) & (F.col("place") <= n), F.col("s")))
+    return ranked.groupBy(*CLIENT).agg(*[ratio(top(c, n), F.sum(F.when(of(c), F.col("s")))).alias(name) for c, n, name in wanted])
+
+
+def top_share(df: DataFrame, column: str, n: int, name: str) -> DataFrame:
+    return top_shares(df, [(column, n, name)])
 
 
 def client_top_share(df: DataFrame) -> DataFrame:
-    parts = [top_share(df, c, n, name) for c, n, name in TOP_SHARES]
-    return functools.reduce(lambda a, b: a.join(b, CLIENT), parts)
+    return top_shares(df, TOP_SHARES)
 
 
-def entropy(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
-    """Normalised Shannon entropy of the stems over a column's values; 0 with at most one positive share."""
-    per = df.groupBy(*keys, column).agg(F.sum("stems").alias("s"))
-    p = F.try_divide("s", F.sum("s").over(Window.partitionBy(*keys)))
-    shares = per.withColumn("p", p)
+def entropies(df: DataFrame, columns: list[str], prefix: str = "entropy_") -> DataFrame:
+    """Normalised Shannon entropies of a client's stems over columns' values; 0 with at most one positive share."""
+    per = long_form(df, columns).groupBy(*CLIENT, "dimension", "value").agg(F.sum("stems").alias("s"))
+    shares = per.withColumn("p", F.try_divide("s", F.sum("s").over(Window.partitionBy(*CLIENT, "dimension"))))
     positive = F.when(F.col("p") > 0, F.col("p"))
     n = F.count(positive)
-    ent = -F.sum(positive * F.log(positive)) / F.log(n)
-    return shares.groupBy(*keys).agg(F.when(n > 1, ent).otherwise(0.0).alias(name))
+    ent = F.when(n > 1, -F.sum(positive * F.log(positive)) / F.log(n)).otherwise(0.0)
+    each = shares.groupBy(*CLIENT, "dimension").agg(ent.alias("e"))
+    return each.groupBy(*CLIENT).agg(*[F.max(F.when(F.col("dimension") == c, F.col("e"))).alias(f"{prefix}{c}") for c in columns])
 
 
 def client_entropy(df: DataFrame) -> DataFrame:
-    parts = [entropy(df, CLIENT, c, f"entropy_{c}") for c in ENTROPIES]
-    return functools.reduce(lambda a, b: a.join(b, CLIENT), parts)
-
-
-def week_similarity(df: DataFrame, column: str) -> DataFrame:
-    """Mean and least cosine between the mixes of neighbouring observed weeks of a client; 0 with one week."""
-    per = df.groupBy(*CLIENT, "year_week", column).agg(F.sum("stems").alias("s"))
-    ranked = per.withColumn("rank", F.dense_rank().over(Window.partitionBy(*CLIENT).orderBy("year_week")))
-    norms = ranked.groupBy(*CLIENT, "rank").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("norm"))
-    before = ranked.select(*CLIENT, column, (F.col("rank") + 1).alias("rank"), F.col("s").alias("s_before"))
-    dots = ranked.join(before, [*CLIENT, "rank", column]).groupBy(*CLIENT, "rank").agg(F.sum(F.col("s") * F.col("s_before")).alias("dot"))
-    norm_before = norms.select(*CLIENT, (F.col("rank") + 1).alias("rank"), F.col("norm").alias("norm_before"))
-    cosines = norms.join(norm_before, [*CLIENT, "rank"], "left").join(dots, [*CLIENT, "rank"], "left")
-    cosine = F.when(F.col("rank") > 1, ratio(F.coalesce("dot", F.lit(0.0)), F.col("norm") * F.col("norm_before")))
-    return cosines.groupBy(*CLIENT).agg(
-        F.coalesce(F.avg(cosine), F.lit(0.0)).alias(f"similarity_{column}"),
-        F.coalesce(F.min(cosine), F.lit(0.0)).alias(f"similarity_min_{column}"),
+    return entropies(df, ENTROPIES)
+
+
+def week_similarities(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Mean and least cosine between the mixes of neighbouring observed weeks of a client, by column; 0 with one week.
+
+    A value meets itself in the week before by a lag over its own weeks: no join."""
+    per = long_form(df, columns, "year_week").groupBy(*CLIENT, "dimension", "year_week", "value").agg(F.sum("stems").alias("s"))
+    ranked = per.withColumn("rank", F.dense_rank().over(Window.partitionBy(*CLIENT, "dimension").orderBy("year_week")))
+    own = Window.partitionBy(*CLIENT, "dimension", "value").orderBy("rank")
+    # A missing value is no match for itself.
+    follows = (F.lag("rank").over(own) == F.col("rank") - 1) & F.col("value").isNotNull()
+    met = ranked.withColumn("before", F.when(follows, F.lag("s").over(own)).otherwise(0.0))
+    weeks = met.groupBy(*CLIENT, "dimension", "rank").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("norm"), F.sum(F.col("s") * F.col("before")).alias("dot"))
+    norm_before = F.lag("norm").over(Window.partitionBy(*CLIENT, "dimension").orderBy("rank"))
+    cosine = F.when(F.col("rank") > 1, ratio(F.col("dot"), F.col("norm") * F.col("norm_before")))
+    each = weeks.withColumn("norm_before", norm_before).groupBy(*CLIENT, "dimension").agg(
+        F.coalesce(F.avg(cosine), F.lit(0.0)).alias("mean"), F.coalesce(F.min(cosine), F.lit(0.0)).alias("least")
     )
+    of = lambda c, x: F.max(F.when(F.col("dimension") == c, F.col(x)))
+    return each.groupBy(*CLIENT).agg(*[x for c in columns for x in (of(c, "mean").alias(f"similarity_{c}"), of(c, "least").alias(f"similarity_min_{c}"))])
 
 
 def weekly_mix_similarity(df: DataFrame) -> DataFrame:
-    parts = [week_similarity(df, c) for c in SIMILARITIES]
-    return functools.reduce(lambda a, b: a.join(b, CLIENT), parts)
+    return week_similarities(df, SIMILARITIES)
 
 
 def minmax_score(df: DataFrame, columns: list[str], low_is_good: bool = True) -> DataFrame:
@@ -182,8 +198,10 @@ def client_scores(base: DataFrame) -> DataFrame:
     )
     weights = {"frequency": 0.14, "volume": 0.14, "color": 0.23, "analysis": 0.18, "pack": 0.08, "type": 0.08, "miss": 0.15}
     total = functools.reduce(lambda a, b: a + b, [F.lit(w) * F.col(f"score_{n}") for n, w in weights.items()])
-    rated = scored.withColumn("score_purchase", F.bround(total, 2))
-    operative = F.bround(F.lit(0.82) * F.col("score_purchase") + F.lit(0.18) * F.col("score_ease"), 2)
+    # As decimals, so that the order in which parts were added can't turn a tie.
+    rounded = lambda x: F.bround(x.cast("decimal(18,8)"), 2).cast("double")
+    rated = scored.withColumn("score_purchase", rounded(total))
+    operative = rounded(F.lit(0.82) * F.col("score_purchase") + F.lit(0.18) * F.col("score_ease"))
     return rated.withColumn("score_operative", operative).drop("cv_cut", *[c for c in rated.columns if c.startswith("minmax_")])
 
 
@@ -208,10 +226,9 @@ def client_segment(frequency: Column, color: Column, sku: Column) -> Column:
 def client_profile(df: DataFrame) -> DataFrame:
     """One row per client. Every part is grouped by client first, so the joins meet one row per client.
 
-    The lines are read by many parts: a narrow projection of them is kept (spilling to disk; a lost piece is recomputed)
-    rather than cleaning the source once per part."""
+    The narrow projection of the lines is written once, as six figures are made of it."""
     used = {*CLIENT, "order_date", "year_week", "stems", "stems_confirmed", "shortfall", "product", "variety", *SIMILARITIES, *ENTROPIES, *[c for c, _, _ in TOP_SHARES]}
-    df = df.select(*sorted(used)).persist()
+    df = stored(df.select(*sorted(used)), "profile-lines")
     parts = [client_volume_stats(df), client_recency(df), client_top_share(df), client_entropy(df), weekly_mix_similarity(df), client_type_shares(df)]
     scored = client_scores(functools.reduce(lambda a, b: a.join(b, CLIENT), parts))
     return scored.withColumns(

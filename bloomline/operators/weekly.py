@@ -9,6 +9,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bloomline.sources.tables import stored
+
 KEY = ["client", "market", "country", "product", "color"]
 # Weeks of the commercial phases.
 PHASES = {
@@ -174,13 +176,12 @@ def forecast_two_stage(train: DataFrame, target: DataFrame, trees: int = 20, see
     weighted = train.join(F.broadcast(last)).withColumns(  # one row
         {"bought": (F.col("stems") > 0).cast("double"), "y": F.log1p("stems"), "w": F.exp(-age / 104) * F.when(F.col("is_peak") > 0, 1.5).otherwise(1.0)}
     )
-    known = assembler.transform(weighted).select("x", "bought", "y", "w").persist()
+    known = stored(assembler.transform(weighted).select("x", "bought", "y", "w"), "weekly-training")
     buys = GBTClassifier(featuresCol="x", labelCol="bought", weightCol="w", maxIter=trees, maxDepth=4, stepSize=0.1, seed=seed).fit(known)
     volumes = GBTRegressor(featuresCol="x", labelCol="y", weightCol="w", maxIter=trees, maxDepth=4, stepSize=0.1, seed=seed).fit(known.where("bought = 1"))
     # Smearing: what the logarithm loses on the training rows, at most 1.35.
     fitted = volumes.transform(known.where("bought = 1")).agg((F.sum(F.expm1("y")) / F.sum(F.expm1("prediction"))).alias("r")).first().r or 1.0
     smear = min(max(fitted, 1.0), 1.35)
-    known.unpersist()
     staged = buys.transform(assembler.transform(target)).withColumn("probability", vector_to_array("probability")[1]).drop("rawPrediction", "prediction")
     staged = volumes.transform(staged).withColumn("volume", F.greatest(F.expm1("prediction") * smear, F.lit(0.0))).drop("prediction", "x")
     anchor = F.greatest("median_8", "median_12", "key_median", "market_week_median", "last_year_adjusted")
@@ -216,9 +217,11 @@ def split_weeks(panel: DataFrame, test_weeks: int = 8) -> tuple[DataFrame, DataF
 
 
 def forecast_backtest(panel: DataFrame, test_weeks: int = 8, trees: int = 20) -> DataFrame:
-    """The last weeks predicted by all models from what was known before them."""
+    """The last weeks predicted by all models from what was known before them. The features are written once: fitting reads
+    them many times."""
+    panel = stored(panel, "weekly-panel")
     train, _ = split_weeks(panel, test_weeks)
-    featured = panel_features(panel, train)
+    featured = stored(panel_features(panel, train), "weekly-features")
     known, target = split_weeks(featured, test_weeks)
     frozen = freeze_recent(target, train)
     staged = forecast_two_stage(known, frozen, trees)

@@ -191,10 +191,12 @@ parts as (select *, least(greatest(active_share * 100, 0), 100) as score_frequen
   least(greatest(70 * top3_pack + 0.3 * m_entropy_pack_key, 0), 100) as score_pack,
   least(greatest(55 * top1_order_type + 30 * similarity_order_type + 0.15 * m_entropy_order_type, 0), 100) as score_type,
   least(greatest((1 - fulfilment) * 100, 0), 100) as score_miss, least(greatest(share_easy * 100 - share_rainbow * 40, 0), 100) as score_ease from ended),
-rated as (select *, round_even(0.14 * score_frequency + 0.14 * score_volume + 0.23 * score_color + 0.18 * score_analysis + 0.08 * score_pack + 0.08 * score_type + 0.15 * score_miss, 2) as score_purchase from parts),
-profiles as (select *, round_even(0.82 * score_purchase + 0.18 * score_ease, 2) as score_operative,
+summed as (select *, cast(round((0.14 * score_frequency + 0.14 * score_volume + 0.23 * score_color + 0.18 * score_analysis + 0.08 * score_pack + 0.08 * score_type + 0.15 * score_miss) * 1e8) as bigint) as x from parts),
+rated as (select * exclude (x), (x // 1000000 + case when x % 1000000 > 500000 or (x % 1000000 = 500000 and (x // 1000000) % 2 = 1) then 1 else 0 end) / 100.0 as score_purchase from summed),
+mixed as (select *, cast(round((0.82 * score_purchase + 0.18 * score_ease) * 1e8) as bigint) as y from rated),
+profiles as (select * exclude (y), (y // 1000000 + case when y % 1000000 > 500000 or (y % 1000000 = 500000 and (y // 1000000) % 2 = 1) then 1 else 0 end) / 100.0 as score_operative,
   case when score_purchase >= 80 then 'ALTA_PRIORIDAD_COMPRAR_TERMINADO' when score_purchase between 65 and 79.999 then 'PILOTO_SKUS_TOP' when score_purchase between 50 and 64.999 then 'COMPRAR_COLOR_O_BASE_VALIDAR' else 'NO_ANTICIPAR_TERMINADO' end as recommendation,
-  case when score_frequency >= 70 and score_color >= 70 and score_sku >= 65 then 'CONSTANTE_ESTRUCTURA_ESTABLE' when score_frequency >= 70 and score_color < 70 then 'CONSTANTE_PERO_VARIABLE_COLOR_SKU' when score_frequency < 40 then 'OCASIONAL' else 'INTERMEDIO' end as client_segment from rated)
+  case when score_frequency >= 70 and score_color >= 70 and score_sku >= 65 then 'CONSTANTE_ESTRUCTURA_ESTABLE' when score_frequency >= 70 and score_color < 70 then 'CONSTANTE_PERO_VARIABLE_COLOR_SKU' when score_frequency < 40 then 'OCASIONAL' else 'INTERMEDIO' end as client_segment from mixed)
 """
 PROFILE_COLUMNS = [
     "client_code", "client", "active_weeks", "stems", "cv", "days_since", "active_16w", "score_frequency", "score_volume", "score_color",

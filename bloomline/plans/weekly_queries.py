@@ -145,4 +145,4 @@ def market_calibration(spark, sf_dir):
 
 @query("forecast_backtest")
 def forecast_backtest(spark, sf_dir):
-    return ops.forecast_backtest(panel(spark, sf_dir), trees=5)
+    return ops.forecast_backtest(panel(spark, sf_dir))

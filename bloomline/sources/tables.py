@@ -18,6 +18,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/bloomline/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back: work that several plans share is done once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_orders_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """All columns as text (no inference pass); a byte order mark before the first name is dropped."""
     df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False, multiLine=False, escape='"')
