@@ -20,9 +20,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_digests(pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
-def pack_digests(pieces: DataFrame) -> DataFrame:
+def pack_digests(pieces: DataFrame, *more: str) -> DataFrame:
     return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", *more
     )
 
 

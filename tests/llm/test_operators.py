@@ -566,3 +566,28 @@ def test_near_dedup_keeps_one_row_of_each_group(spark, empty):
     rest = Counter(r for r in got if r not in in_group)
     assert rest == Counter(rows[3:5] + rows[6:])
     assert corpus_pipeline.drop_near(spark, empty, "").count() == 0
+
+
+def test_pipeline_keeps_columns_and_takes_odd_tables(spark, tmp_path):
+    """Columns named like an operator's output come through every stage; nulls, repeats and empty tables don't fail."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(8)
+    words = "the of and to in that it was for on as with his they be at one have this from".split()
+    texts = [" ".join(rng.choices(words, k=60)) + "." for _ in range(40)] + [None, "", "x"]
+    rows = [(k, t, "en", 9, "mine", "mine", "mine", "mine") for k, t in enumerate(texts)] + [(None, texts[0], None, 1, "mine", "mine", "mine", "mine"), (3, texts[3], "en", 9, "mine", "mine", "mine", "mine")]
+    schema = "doc_id bigint, text string, lang string, n_chars int, score string, rejected string, keep_id string, kept string"
+    labels = [(k, 1 if k < 40 else 0, 0) for k in range(43)]
+    for name, some in (("full", rows), ("empty", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(some, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels if some else [], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in pipeline.STAGES[:-1]:
+            out = stage(spark, docs, folder)
+            assert out.columns == docs.columns
+            assert {r.score for r in out.select("score").distinct().collect()} <= {"mine"}
+            assert {r.kept for r in out.select("kept").distinct().collect()} <= {"mine"}
+        packed = pipeline.run(spark, folder).collect()
+        assert (len(packed) > 0) == bool(some)
+        assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in packed)
