@@ -228,6 +228,30 @@ def forecast_backtest(panel: DataFrame, test_weeks: int = 8, trees: int = 20) ->
     return forecast_hybrid(forecast_seasonal_naive(forecast_baseline_8w(staged)), "two_stage").select(*KEY, "week_start", "iso_year", "iso_week", "stems", "probability", "volume", *MODELS)
 
 
+def future_weeks(weekly: DataFrame, weeks: int = 8) -> DataFrame:
+    """Every key for each of the weeks after the last one of all, without demand."""
+    last = weekly.agg(F.max("week_start").alias("last_week"))
+    dated = weekly.select(*KEY).distinct().join(F.broadcast(last))  # one row
+    ahead = F.sequence(F.date_add("last_week", 7), F.date_add("last_week", 7 * weeks), F.expr("interval 7 days"))
+    day = F.col("week_start")
+    return dated.select(*KEY, F.explode(ahead).alias("week_start"), F.lit(0.0).alias("stems")).withColumns(
+        {"iso_year": F.extract(F.lit("YEAROFWEEK"), day), "iso_week": F.weekofyear(day), "month": F.month(day)}
+    )
+
+
+def future_forecast(weekly: DataFrame, model: str = "hybrid", weeks: int = 8, trees: int = 20) -> DataFrame:
+    """The coming weeks of every key by one of MODELS, where it expects stems. Models are fitted on the panel of strong keys;
+    all keys get a forecast."""
+    past = stored(week_panel(weekly, least_weeks=0, least_stems=0.0, active_weeks=100_000), "weekly-past")
+    featured = panel_features(past.unionByName(future_weeks(weekly, weeks)), past)
+    out = freeze_recent(split_weeks(featured, weeks)[1], past)
+    if model in ("two_stage", "hybrid"):
+        out = forecast_two_stage(panel_features(week_panel(weekly)), out, trees)
+    out = forecast_seasonal_naive(forecast_baseline_8w(out))
+    out = forecast_hybrid(out, "two_stage") if model == "hybrid" else out
+    return out.select(*KEY, "week_start", "iso_year", "iso_week", F.col(model).alias("forecast")).where("forecast > 0")
+
+
 def wape_by_grain(predicted: DataFrame, keys: list[str], model: str) -> DataFrame:
     """WAPE after summing to another grain."""
     per = predicted.groupBy(*keys).agg(F.sum("stems").alias("y"), F.sum(model).alias("p"))
