@@ -177,6 +177,25 @@ select page_id, payload_bytes, payload_digest,
 from f
 """
 
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm import whitening
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", components=16)
+    explained = F.array(*[F.lit(v / model.trace) for v in model.values]).cast("array<double>")
+    return whitening.apply(vectors, "embedding", model).select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
 #: Scores from here on count as good quality.
 QUALITY_LEVEL = 0.7
 
@@ -191,5 +210,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_media": op9_media,
     "op10_warc": op10_warc,
+    "op11_whitening": op11_whitening,
 }
 SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc": OP10_SQL}
