@@ -196,6 +196,14 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.identity_error).alias("identity_error"),
     )
 
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm import repair
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digests(repair.repair(repair.damage(turns)))
+
+
 #: Scores from here on count as good quality.
 QUALITY_LEVEL = 0.7
 
@@ -211,5 +219,6 @@ QUERIES = {
     "op9_media": op9_media,
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
+    "op12_repair": op12_repair,
 }
 SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc": OP10_SQL}
