@@ -204,6 +204,25 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(repair.repair(repair.damage(turns)))
 
 
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bloomline.llm import secrets
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(secrets.samples(docs))).select("doc_id", "spans")
+    plain = F.filter("spans", lambda s: s.kind != "format")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    return found.select(
+        "doc_id", *(count(k) for k in secrets.PATTERNS), F.sha2(joined(plain), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 #: Scores from here on count as good quality.
 QUALITY_LEVEL = 0.7
 
@@ -220,5 +239,6 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
     "op12_repair": op12_repair,
+    "op13_secrets": op13_secrets,
 }
 SQL = {"op6_chat": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc": OP10_SQL}
