@@ -7,7 +7,8 @@ all states that follow), in red-blue order, which gives a probabilistic automato
 run of SHORTEST or more of the characters that credentials are made of) is scored by its likelihood under each automaton against its
 likelihood under pairs of characters of ordinary candidates. Those from the kind's level on become spans of kind `format`, unless they
 touch a plain span. The level is what left-out credentials reach (all but LOST of them), but at least RARE, by which an ordinary
-candidate is likelier beforehand. (Sampled ordinary candidates set no level: credentials without a keyword are among them.)
+candidate is likelier beforehand. Credentials that no pattern finds lie among the sampled ordinary candidates; those that reach RARE
+are taken out of them, in CLEANINGS rounds.
 
 Defined cases. A null text is empty and has no spans; rows with equal or null ids are scanned on their own. Where a pattern finds
 nothing, its kind has no automaton; with none at all only plain spans are given. Offsets are code points, ends exclusive. Columns of
@@ -54,7 +55,9 @@ ORDINARY = "ordinary"
 SAMPLES = {"assign": 1_000, "access": 1_000, "hex": 1_000, ORDINARY: 20_000}
 SHORTEST, LONGEST = 12, 256
 #: Chance of keeping states apart that are alike; share of left-out credentials that may be lost; least log-odds of a finding.
-ALPHA, LOST, RARE = 0.01, 0.02, math.log(1e8)
+ALPHA, LOST, RARE = 0.01, 0.02, math.log(1e6)
+#: Rounds in which unlabelled credentials are taken out of the ordinary candidates.
+CLEANINGS = 4
 
 
 # Plain spans and candidates
@@ -207,8 +210,9 @@ def tables(states: list[State]) -> Automaton:
 
 
 def of_pairs(values: list[str]) -> Automaton:
-    """The automaton of ordinary candidates: its state is the character before."""
-    counts = np.full((len(LETTERS) + 1, len(LETTERS) + 1), 0.01)
+    """The automaton of ordinary candidates: its state is the character before. A whole count is added to each pair, so that a rare value
+    does not vouch for itself."""
+    counts = np.ones((len(LETTERS) + 1, len(LETTERS) + 1))
     for value in values:
         places = [CODE[ord(c)] + 1 for c in value]
         np.add.at(counts, ([0, *places], [*(p - 1 for p in places), len(LETTERS)]), 1)
@@ -293,19 +297,21 @@ def fit(sampled: DataFrame) -> Formats:
     values: dict[str, list[str]] = {}
     for row in sampled.orderBy("kind", "hash").collect():
         values.setdefault(row.kind, []).append(row.value)
-    ordinary = of_pairs(values.pop(ORDINARY, []))
-
-    def odds(automaton: Automaton, some: list[str]) -> np.ndarray:
-        ends = np.cumsum([len(v) for v in some])
-        runs = CODE[np.frombuffer("".join(some).encode(), np.uint8)], ends - [len(v) for v in some], ends
-        return automaton.score(*runs) - ordinary.score(*runs)
-
-    out = {}
-    for kind, found in values.items():
-        left_out = found[::4] if len(found) >= 8 else found
-        automaton = infer([v for k, v in enumerate(found) if k % 4] if len(found) >= 8 else found)
-        out[kind] = (automaton, max(float(np.quantile(odds(automaton, left_out), LOST)), RARE))
-    return Formats(out, ordinary)
+    plain = values.pop(ORDINARY, [])
+    left_out = {kind: found[::4] if len(found) >= 8 else found for kind, found in values.items()}
+    automata = {kind: infer([v for k, v in enumerate(found) if k % 4] if len(found) >= 8 else found) for kind, found in values.items()}
+
+    def runs(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ends = np.cumsum([len(v) for v in some], dtype=np.int64)
+        return CODE[np.frombuffer("".join(some).encode(), np.uint8)], ends - np.array([len(v) for v in some], np.int64), ends
+
+    for _ in range(CLEANINGS):
+        formats = Formats({kind: (automaton, RARE) for kind, automaton in automata.items()}, of_pairs(plain))
+        plain = [v for v, found in zip(plain, formats.found(*runs(plain)), strict=True) if not found]
+    for kind, automaton in automata.items():
+        odds = automaton.score(*runs(left_out[kind])) - formats.ordinary.score(*runs(left_out[kind]))
+        formats.kinds[kind] = (automaton, max(float(np.quantile(odds, LOST)), RARE))
+    return formats
 
 
 def scan(docs: DataFrame, formats: Formats, text: str = "text") -> DataFrame:
