@@ -10,9 +10,10 @@ importance. Branches below LEVEL go. Hosts with fewer than LEAST_PAGES pages use
 Markup that says what it is goes first: navigation, page headers and footers, asides, forms, scripts, adverts, notices
 and comments are no main text on any host. A class, id or role says so only as a whole: each word of a name has to be one
 of HINTS or a word for a part of a page (PARTS), so "has-sidebar" says nothing; ids of headings are no hints. A hint or form
-around the page's article or main doesn't count: it is a layout. The tree decides about all other branches. Inside article
-and main only the host's own tree removes branches (found on at least LEAST_PAGES of its pages), and never all of a page's:
-near copies of one article don't make it a template.
+around the page's article or main doesn't count: it is a layout. The tree decides about all other branches. Inside article and
+main no class, id or role counts: there only elements that are never text (nav, aside, footer and the like) and the host's own tree
+remove branches (found on at least LEAST_PAGES of its pages), and never all of a page's: near copies of one article don't make
+it a template.
 
 Identical pages count once in the tree, so copies don't make an article look like a template.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,16 @@ LEAST_PAGES = 3
 #: Low branches that are broadcast; with more of them the blocks are joined and regrouped instead.
 BROADCAST_BRANCHES = 1_000_000
 
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|xmp|noembed|noframes"
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*(?:>|\Z)",
-    re.S | re.I,
-)
+RAW = frozenset("script style noscript template textarea iframe svg noembed noframes".split())
+START = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
+#: What ends the plain part of a tag: its end, or a quote that hides ends.
+SPECIAL = re.compile(r"[>\"']")
 CLASS = re.compile(r"""(?:^|\s)(class|id|role|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover "
+    "mmultiscripts mtable mtr mtd semantics annotation".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_BLOCK = "p"
@@ -94,6 +95,68 @@ def layouts(mains: list[tuple[str, tuple[int, ...]]], told: set[int]) -> set[int
     return {w for tag, around in some if tag == "main" or len(around) == least for w in around}
 
 
+def tag_ends(page: str) -> Callable[[int], int]:
+    """A function from a place inside a tag to where its `>` is (quotes hide it), or -1. Places where an end was looked for in vain are
+    kept, so that a page of broken tags is read once, not once for each of them."""
+    last = {c: page.rfind(c) for c in "\"'>"}
+    vain: set[int] = set()
+    asked, found = 0, -1  # what stands between them is plain
+
+    def end(at: int) -> int:
+        nonlocal asked, found
+        seen = []
+        while at <= last[">"]:
+            if not asked <= at <= found:
+                m = SPECIAL.search(page, at)
+                asked, found = at, m.start() if m else len(page)
+            here = found
+            if here >= len(page) or here in vain:
+                break
+            if page[here] == ">":
+                return here
+            seen.append(here)
+            if here >= last[page[here]]:
+                break
+            at = page.index(page[here], here + 1) + 1
+        vain.update(seen)
+        return -1
+
+    return end
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """Start, end, tag (lower case; None: a comment, declaration, broken tag or raw element), whether it closes, and its attributes. A raw
+    element is one token up to its closing tag or the end of the page."""
+    tag_end, at = tag_ends(page), 0
+    closing: dict[str, re.Pattern] = {}
+    while m := START.search(page, at):
+        start, tag = m.start(), (m[3] or "").lower()
+        if m[1]:
+            stop = page.find("-->", m.end())
+            at = stop + 3 if stop >= 0 else len(page)
+            yield start, at, None, False, ""
+            continue
+        if tag.strip("/") in RAW and not m[2]:
+            stop = page.find(">", m.end())
+            if stop >= 0:
+                at = stop + 1
+                if page[stop - 1] != "/":
+                    ended = closing.setdefault(tag, re.compile(rf"</{re.escape(tag)}\s*>", re.I)).search(page, at)
+                    at = ended.end() if ended else len(page)
+                yield start, at, "", False, ""
+                continue
+        stop = tag_end(m.end()) if tag else -1
+        if stop >= 0:
+            at = stop + 1
+            yield start, at, tag, bool(m[2]), page[m.end() : stop]
+        elif tag and not m[2]:
+            at = m.end()
+        else:
+            stop = page.find(">", m.end())
+            at = stop + 1 if stop >= 0 else len(page)
+            yield start, at, None, False, ""
+
+
 def branches(page: str | None) -> list[tuple[int, str, str]]:
     """The page's blocks in order: kind (KEEP, DROP or OPEN), path and text."""
     page, found = page or "", []
@@ -114,21 +177,17 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
         flush()
         del stack[k:]
 
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
+    for start, after, tag, ends_one, rest in tokens(page):
+        if start > at:
+            parts.append(page[at:start])
+        at = after
         if tag is None:
-            if m["raw"]:
-                parts.append(" ")
             continue
-        tag = tag.lower()
-        if tag == "br":
+        if tag in ("", "br"):
             parts.append(" ")
         elif tag in INLINE:
             continue
-        elif m["end"]:
+        elif ends_one:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     close(k)
@@ -147,7 +206,7 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
             style, hidden = tag, False
             _, _, kind, around, inside = stack[-1]
             names: list[str] = []
-            for name, value in CLASS.findall(m["rest"]) if m["rest"] else ():
+            for name, value in CLASS.findall(rest) if rest else ():
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
                     hidden = True
@@ -160,7 +219,7 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
                 if tag in DROPPED or hidden:
                     kind = DROP
                 elif (
-                    tag in WRAPS or any(hints(v, HINTS) for v in names)
+                    tag in WRAPS or kind == OPEN and any(hints(v, HINTS) for v in names)
                     or kind == OPEN and (tag == "header" or any(hints(v, PAGE_HINTS) for v in names))
                 ):
                     around = (*around, hinted)
@@ -168,7 +227,7 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
                 if kind != DROP and tag in MAIN:
                     kind, inside = KEEP, len(mains)
                     mains.append((tag, around))
-            if not m["rest"].endswith("/"):
+            if not rest.endswith("/"):
                 stack.append((tag, f"{stack[-1][1]}/{style}", kind, around, inside))
     if at < len(page):
         parts.append(page[at:])

@@ -129,10 +129,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    rates = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, int(1_000_000 * min(1.0, sample / n)))])
+    bounds = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(2**63 - 1, sample * 2**63 // n))])
     # By a hash of id and text: rows with one id, or without, are chosen one by one; of equal rows one is taken.
     named = known.withColumn("name", F.xxhash64("doc_id", "body", F.lit(4)))
-    chosen = named.where(F.pmod(F.col("name"), F.lit(1_000_000)) < rates[F.col("label")])
+    chosen = named.where(F.shiftrightunsigned("name", 1) <= bounds[F.col("label")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,6 +150,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     rows = chosen.select("label", F.coalesce(remainder("doc_id", 12) < 3, F.lit(False)).alias("held"), "name", "body")
     made = rows.mapInArrow(run, "label string, held boolean, name bigint, places binary, amounts binary")
     got = made.dropDuplicates(["label", "name"]).toArrow()
+    if not len(got):
+        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     place = {lang: k for k, lang in enumerate(languages)}
     y = np.array([place[lang] for lang in got["label"].to_pylist()], np.int64)
     held, names = np.array(got["held"].to_pylist(), bool), got["name"].to_numpy()

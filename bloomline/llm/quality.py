@@ -130,10 +130,14 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
-def sampled(rows: DataFrame, at_most: int, salt: int) -> DataFrame:
-    """About at_most rows (all, if there are fewer), chosen by a hash of their name: of repeats all or none."""
-    share = min(1.0, at_most / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("name", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
+def at_most(hashed: Column, wanted: int, rows: int) -> Column:
+    """Whether a row is among about wanted of so many: its 64-bit hash lies below that share of all hashes, at any number of rows."""
+    return F.shiftrightunsigned(hashed, 1) <= F.lit(min(2**63 - 1, wanted * 2**63 // max(1, rows)))
+
+
+def sampled(rows: DataFrame, wanted: int, salt: int) -> DataFrame:
+    """About so many rows (all, if there are fewer), chosen by a hash of their name: of repeats all or none."""
+    return rows.where(at_most(F.xxhash64("name", F.lit(salt)), wanted, rows.count())).distinct()
 
 
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:

@@ -3,6 +3,8 @@ columns whose names clash with an output's."""
 
 import hashlib
 import random
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -597,3 +599,56 @@ def test_pipeline_keeps_columns_and_takes_odd_tables(spark, tmp_path):
         packed = pipeline.run(spark, folder).collect()
         assert (len(packed) > 0) == bool(some)
         assert all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in packed)
+
+
+@pytest.mark.parametrize("broken", ["<script ", "<a ", '<a "', "<a '\"", '</a "', "<!", "<script></script ", '"<a >', "<svg/ "])
+def test_html_reads_long_broken_markup_once(broken):
+    began = time.perf_counter()
+    html.branches(broken * (100_000 // len(broken)))
+    assert time.perf_counter() - began < 1
+
+
+def test_html_keeps_article_text_under_any_name():
+    page = (
+        '<article><p class="search">about search</p><p class="social">social</p><div class="recommended"><p>dosage</p></div>'
+        '<section id="comments">on the law</section><p>x</p><math><mi>y</mi><mo>=</mo><mn>2</mn></math><xmp>code</xmp><object>a plan</object></article>'
+    )
+    assert [t for kind, _, t in html.branches(page) if kind == html.KEEP] == [
+        "about search", "social", "dosage", "on the law", "x", "y=2", "code", "a plan",
+    ]
+
+
+def test_samples_are_exact_at_any_number_of_rows(spark):
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    assert rows.where(quality.at_most(F.col("h"), 1_000, 200_000)).count() in range(850, 1150)
+    assert rows.where(quality.at_most(F.col("h"), 10, 5)).count() == 200_000
+    # Four thousand of 10^13 rows: the share is far below a millionth, and yet not nothing.
+    bound = 4_000 * 2**63 // 10**13
+    assert 0 < bound / 2**63 * 10**13 / 4_000 <= 1
+
+
+def test_language_without_a_sample_is_no_model(spark):
+    docs = spark.createDataFrame([(1, "some words", "en")], "doc_id bigint, text string, lang string")
+    assert langid.predict(docs, langid.train(docs, sample=0)).first().lang_pred == "und"
+
+
+def test_corners_of_large_pictures_meet_in_blocks(monkeypatch):
+    found = media.describe(np.random.default_rng(3).integers(0, 255, (1, 128, 128)).astype(np.uint8))
+    corners = np.zeros(len(found["image"]), media.CORNER)
+    corners["w"] = found["words"]
+    for name in ("x", "y", "scale", "angle"):
+        corners[name] = found[name]
+    whole = media.agreement(corners, corners, media.NEAR)
+    monkeypatch.setattr(media, "BLOCK", 7)
+    assert len(corners) > 50 and media.agreement(corners, corners, media.NEAR) == whole == len(corners)
+
+
+def test_two_large_pictures_fit_into_a_task():
+    """2048 x 2048: tens of thousands of corners, compared within some hundred MB (a table of all pairs would take 26 GB)."""
+    many = np.zeros(28_000, media.CORNER)
+    many["w"] = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, (len(many), 4))
+    many["scale"], many["x"], many["y"] = 1, *np.random.default_rng(2).uniform(0, 2048, (2, len(many)))
+    tracemalloc.start()
+    assert media.agreement(many[:2_000], many, media.NEAR) == 2_000
+    assert tracemalloc.get_traced_memory()[1] < 600e6
+    tracemalloc.stop()
