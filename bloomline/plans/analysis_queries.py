@@ -83,17 +83,18 @@ def client_share_matrix(spark, sf_dir):
 
 def _unit(column: str, weight: float) -> str:
     return f"""select '{column}' as space, item, client_code, client, coalesce(share / nullif(sqrt(sum(share * share) over (partition by client_code, client)), 0), 0) * sqrt({weight}) as u from (
-  select client_code, client, item, s / sum(s) over (partition by client_code, client) as share from (select client_code, client, {column} as item, sum(stems) as s from seg group by all)
-  where item in (select {column} from seg group by {column} order by sum(stems) desc, {column} limit 300))"""
+  select client_code, client, item, s / sum(s) over (partition by client_code, client) as share from (select client_code, client, {column} as item, sum(stems) as s from hist group by all)
+  where item in (select {column} from hist group by {column} order by sum(stems) desc, {column} limit 300))"""
 
 
-@query("client_similarity", with_orders(SEGMENTS + ", units as (" + " union all ".join(_unit(c, w) for c, w in similarity.WEIGHTS.items()) + """),
-met as (select a.client_code, a.client, b.client_code as similar_code, b.client as similar_client, round_even(sum(a.u * b.u), 4) as similarity from units a join units b using (space, item)
-  where a.client_code <> b.client_code or a.client <> b.client group by all)
-select *, case when similarity >= 0.8 then 'ALTA_COMPATIBILIDAD_TERMINADO' when similarity >= 0.65 then 'COMPATIBLE_PARA_PILOTO' when similarity >= 0.5 then 'COMPATIBLE_SOLO_COLOR_BASE' else 'BAJA_COMPATIBILIDAD' end as compatibility
-from (select *, row_number() over (partition by client_code, client order by similarity desc, similar_code, similar_client) as place from met) where place <= 10"""))
+@query("client_similarity", with_orders(", units as (" + " union all ".join(_unit(c, w) for c, w in similarity.WEIGHTS.items()) + """),
+met as (select a.client_code, a.client, b.client_code as similar_code, b.client as similar_client, round(sum(a.u * b.u), 9) as total from units a join units b using (space, item)
+  where a.client_code <> b.client_code or a.client <> b.client group by all),
+best as (select client_code, client, similar_code, similar_client, round_even(total, 4) as similarity
+  from (select *, row_number() over (partition by client_code, client order by total desc, similar_code, similar_client) as place from met) where place <= 10 and total > 0)
+select *, case when similarity >= 0.8 then 'ALTA_COMPATIBILIDAD_TERMINADO' when similarity >= 0.65 then 'COMPATIBLE_PARA_PILOTO' when similarity >= 0.5 then 'COMPATIBLE_SOLO_COLOR_BASE' else 'BAJA_COMPATIBILIDAD' end as compatibility from best"""))
 def client_similarity(spark, sf_dir):
-    return similarity.client_similarity(by_segment(history(spark, sf_dir)))
+    return similarity.client_similarity(history(spark, sf_dir))
 
 
 BANDS = f""", weeks as (select {CLIENT}, year_week, sum(stems) as stems from hist group by all),

@@ -11,9 +11,11 @@ from bloomline.operators import clustering, profile, weekly
 def test_every_cluster_of_one_counts():
     assert clustering.selection_score(0.5, [6, 1, 1], 8) == 0.5 - 2 * 0.18
     assert math.isclose(clustering.selection_score(0.5, [9, 1], 10), 0.5 - 0.18 - 0.12 * 0.5)
-    first = ("bisecting", 2, None, 0.5, [4, 4], 3.0)
+    assert clustering.selection_score(None, [4, 4], 8) == -1.0
+    first = ("ward", 2, None, 0.5, [4, 4], 3.0)
     assert clustering.cluster_selection([first, ("kmeans", 3, None, 0.6, [6, 1, 1], 9.0)], 8) == first
     assert clustering.cluster_selection([first, ("kmeans", 2, None, 0.5, [4, 4], 3.0)], 8)[0] == "kmeans"
+    assert clustering.cluster_selection([("kmodes", 2, None, None, [4, 4], 9.0), first], 8) == first
     assert clustering.cluster_selection([], 8) is None
 
 
