@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bloomline.functions.text import ratio
 from bloomline.operators.mix import top_k
+from bloomline.sources.tables import stored
 
 ITEM = ["product", "variety", "color", "grade"]
 COLOR = ["product", "color", "grade"]
@@ -82,7 +83,8 @@ def variety_demand_rank(demand: DataFrame) -> DataFrame:
 
 
 def purchase_priority(crossed: DataFrame) -> DataFrame:
-    """crossed: demand_inventory_cross of demand with country, order_type, source and score."""
+    """crossed: demand_inventory_cross of demand with country, order_type, source and score; written once, as the ranks are made of it, too."""
+    crossed = stored(crossed, "priority-crossed")
     ranked = crossed.join(variety_demand_rank(crossed), ITEM, "left").withColumn("variety_share", F.coalesce("variety_share", F.lit(0.0)))
     usa, easy, rainbow = is_usa(F.col("country")), F.col("order_type").isin(EASY), F.col("order_type") == "RAINBOW"
     pending, score = F.col("source") == "PENDIENTE_REAL_CLIENTE", F.coalesce("score", F.lit(0.0))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,8 @@ def select_solids(df: DataFrame) -> DataFrame:
     """Solid lines without marks of mixed formats; confirmed ones, or all where no state is given at all."""
     text = F.lower(F.concat_ws(" ", "pack_order_type", "packaging", "recipe"))
     solid = df.where((F.col("order_type") == "SOLIDO") & ~text.rlike(r"\bcombo\b|\bbqt\b|\bbouquet\b"))
-    stated = solid.agg(F.max((F.col("state_canonical") != "otro").cast("int")).alias("any")).first()["any"]
-    return solid.where("state_canonical = 'confirmado'") if stated else solid
+    stated = solid.agg(F.coalesce(F.max((F.col("state_canonical") != "otro").cast("int")), F.lit(0)).alias("any_stated"))
+    return solid.join(F.broadcast(stated)).where("any_stated = 0 or state_canonical = 'confirmado'").drop("any_stated")  # one row
 
 
 def solid_weekly_demand(df: DataFrame) -> DataFrame:
@@ -38,7 +40,8 @@ def solid_weekly_demand(df: DataFrame) -> DataFrame:
 def week_panel(weekly: DataFrame, least_weeks: int = 3, least_stems: float = 500.0, active_weeks: int = 52) -> DataFrame:
     """Every Monday of the range for every key that is strong enough and was active lately; weeks without demand are 0.
 
-    Keys meet the weeks through a generated sequence per key: no join of keys with weeks."""
+    Keys meet the weeks through a generated sequence per key: no join of keys with weeks. The weekly sums are written once."""
+    weekly = stored(weekly, "weekly-demand")
     ends = weekly.agg(F.min("week_start").alias("from_week"), F.max("week_start").alias("to_week"))
     strong = weekly.groupBy(*KEY).agg(F.count_distinct("week_start").alias("weeks"), F.sum("stems").alias("total"), F.max("week_start").alias("last_week"))
     keys = strong.join(F.broadcast(ends)).where(  # one row
@@ -82,7 +85,9 @@ ROLLING = {"mean_4": 4, "median_8": 8, "median_12": 12, "activity_8": 8, "activi
 def panel_features(panel: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Lags and rolling figures of the weeks before, the same week a year ago, levels of key, client and market, season.
 
-    history: the rows that levels may be learnt from (default: all); windows never see the current week."""
+    history: the rows that levels may be learnt from (default: all); windows never see the current week. The panel is written once, as
+    nine figures are made of it."""
+    panel = stored(panel, "weekly-panel")
     week = Window.partitionBy(*KEY).orderBy("week_start")
     active = (F.col("stems") > 0).cast("double")
     back = lambda n: week.rowsBetween(-n, -1)
@@ -168,22 +173,39 @@ FEATURES = [
 ]
 
 
-def forecast_two_stage(train: DataFrame, target: DataFrame, trees: int = 20, seed: int = 42) -> DataFrame:
-    """target with probability (of buying), volume (if bought) and two_stage, their product below a cap."""
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="x")
+@dataclass
+class TwoStage:
+    """Probability of buying, logarithm of the volume if bought, and the factor that gives back what the logarithm loses."""
+
+    buys: GBTClassificationModel
+    volumes: GBTRegressionModel
+    smear: float
+
+
+def vectors(features: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=FEATURES, outputCol="x").transform(features)
+
+
+def fit_two_stage(train: DataFrame, trees: int = 20, seed: int = 42) -> TwoStage:
     last = train.agg(F.max("week_start").alias("last_week"))
     age = F.datediff("last_week", "week_start") / 7
     weighted = train.join(F.broadcast(last)).withColumns(  # one row
         {"bought": (F.col("stems") > 0).cast("double"), "y": F.log1p("stems"), "w": F.exp(-age / 104) * F.when(F.col("is_peak") > 0, 1.5).otherwise(1.0)}
     )
-    known = stored(assembler.transform(weighted).select("x", "bought", "y", "w"), "weekly-training")
+    known = stored(vectors(weighted).select("x", "bought", "y", "w"), "weekly-training")
     buys = GBTClassifier(featuresCol="x", labelCol="bought", weightCol="w", maxIter=trees, maxDepth=4, stepSize=0.1, seed=seed).fit(known)
     volumes = GBTRegressor(featuresCol="x", labelCol="y", weightCol="w", maxIter=trees, maxDepth=4, stepSize=0.1, seed=seed).fit(known.where("bought = 1"))
     # Smearing: what the logarithm loses on the training rows, at most 1.35.
     fitted = volumes.transform(known.where("bought = 1")).agg((F.sum(F.expm1("y")) / F.sum(F.expm1("prediction"))).alias("r")).first().r or 1.0
-    smear = min(max(fitted, 1.0), 1.35)
-    staged = buys.transform(assembler.transform(target)).withColumn("probability", vector_to_array("probability")[1]).drop("rawPrediction", "prediction")
-    staged = volumes.transform(staged).withColumn("volume", F.greatest(F.expm1("prediction") * smear, F.lit(0.0))).drop("prediction", "x")
+    return TwoStage(buys, volumes, min(max(fitted, 1.0), 1.35))
+
+
+def forecast_two_stage(train: DataFrame, target: DataFrame, trees: int = 20, seed: int = 42, fitted: TwoStage | None = None) -> DataFrame:
+    """target with probability (of buying), volume (if bought) and two_stage, their product below a cap."""
+    fitted = fitted or fit_two_stage(train, trees, seed)
+    staged = fitted.buys.transform(vectors(target)).withColumn("probability", vector_to_array("probability")[1]).drop("rawPrediction", "prediction")
+    volume = F.greatest(F.expm1("prediction") * fitted.smear, F.lit(0.0))
+    staged = fitted.volumes.transform(staged).withColumn("volume", volume).drop("prediction", "x")
     anchor = F.greatest("median_8", "median_12", "key_median", "market_week_median", "last_year_adjusted")
     cap = anchor * F.when(F.col("is_peak") > 0, 2.4).otherwise(1.8)
     return staged.withColumn("two_stage", F.least(F.col("probability") * F.col("volume"), cap))
@@ -219,7 +241,7 @@ def split_weeks(panel: DataFrame, test_weeks: int = 8) -> tuple[DataFrame, DataF
 def forecast_backtest(panel: DataFrame, test_weeks: int = 8, trees: int = 20) -> DataFrame:
     """The last weeks predicted by all models from what was known before them. The features are written once: fitting reads
     them many times."""
-    panel = stored(panel, "weekly-panel")
+    panel = stored(panel, "weekly-backtest")
     train, _ = split_weeks(panel, test_weeks)
     featured = stored(panel_features(panel, train), "weekly-features")
     known, target = split_weeks(featured, test_weeks)

@@ -8,6 +8,7 @@ from bloomline.operators import analysis, cleaning, profile, readings, views, we
 from bloomline.plans import weekly_queries as wq
 from bloomline.plans.fixtures import history, inventory, market_sql, orders, raw_orders, with_both, with_orders
 from bloomline.plans.registry import SQL, query
+from bloomline.sources.tables import read_orders_files as read_orders_files_of
 from bloomline.sources.tables import scratch
 from bloomline.streaming.orders import clean_orders_stream, run_to_table
 
@@ -249,3 +250,13 @@ def candidate_structures(spark, sf_dir):
     lines = history(spark, sf_dir)
     active = readings.since(lines, {"active": 16}).where("active").select(*profile.CLIENT).distinct()
     return readings.candidate_structures(views.daily_aggregate(lines), active, weeks=[31, 32])
+
+
+@query("read_orders_files", "select cast(c_custkey as varchar) as code, 'Señal ' || c_name as name, case when c_custkey % 3 = 2 then c_mktsegment end as segment from customer")
+def read_orders_files(spark, sf_dir):
+    """Customers as three kinds of files: UTF-8 with commas, latin-1 with semicolons, and latin-1 with tabs and one more column."""
+    path, customers = scratch(spark, "order-files"), spark.read.parquet(f"{sf_dir}/customer.parquet")
+    named = customers.select(F.col("c_custkey").alias("code"), F.concat(F.lit("Señal "), "c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    for part, (encoding, sep, columns) in enumerate([("UTF-8", ",", ["code", "name"]), ("ISO-8859-1", ";", ["name", "code"]), ("ISO-8859-1", "\t", ["code", "name", "segment"])]):
+        named.where(F.col("code") % 3 == part).select(*columns).write.csv(f"{path}/part={part}", header=True, sep=sep, encoding=encoding)
+    return read_orders_files_of(spark, f"{path}/*").select("code", "name", "segment")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bloomline.operators import cleaning
+from bloomline.operators import cleaning, importance
 from bloomline.operators import weekly as ops
 from bloomline.plans.fixtures import market_sql, orders, with_orders
 from bloomline.plans.registry import query
+from bloomline.sources.tables import stored
 
 
 def lines(spark, sf_dir):
@@ -73,9 +75,28 @@ def market_year_growth(spark, sf_dir):
 LAGGED = [*ops.KEY, "week_start", "stems", *ops.FROZEN, *ops.ROLLING]
 
 
-@query("panel_features", with_orders(FEATURES + f"select {KEY}, week_start, stems, {', '.join(f'coalesce({c}, 0) as {c}' for c in [*ops.FROZEN, *ops.ROLLING])} from lagged"))
+FULL = FEATURES + f""", seen as (select * from panel where stems > 0),
+kl as (select {KEY}, quantile_cont(stems, 0.5) as key_median, count(*) as key_weeks from seen group by all), ci as (select client, product, color, quantile_cont(stems, 0.5) as client_item_median from seen group by all),
+mw as (select market, product, color, iso_week, quantile_cont(stems, 0.5) as market_week_median from seen group by all), cw as (select client, count(distinct week_start) as client_weeks from seen group by all),
+gy as (select market, iso_year + 1 as iso_year, case when p is not null and p <> 0 then least(greatest(s / p, 0.75), 1.35) end as growth from (select *, lag(s) over (partition by market order by iso_year) as p from (select market, iso_year, sum(stems) as s from seen group by all))),
+tw as (select market, product, color, iso_year, iso_week, sum(stems) as s from panel group by all), wl as (select market, product, color, iso_week, quantile_cont(s, 0.5) as week_level from tw group by all),
+bl as (select market, product, color, quantile_cont(s, 0.5) as base_level from tw group by all),
+si as (select market, product, color, iso_week, case when base_level <> 0 then least(greatest(week_level / base_level, 0), 5) end as season_index from wl join bl using (market, product, color)),
+py as (select {KEY}, iso_year + 1 as iso_year, iso_week, stems as last_year from panel),
+full_features as (select {KEY}, week_start, iso_year, iso_week, month, stems, {', '.join(f'coalesce({c}, 0) as {c}' for c in [*ops.FROZEN, *ops.ROLLING])}, coalesce(last_year, 0) as last_year, coalesce(key_median, 0) as key_median,
+    cast(coalesce(key_weeks, 0) as double) as key_weeks, coalesce(client_item_median, 0) as client_item_median, coalesce(market_week_median, 0) as market_week_median, cast(coalesce(client_weeks, 0) as double) as client_weeks,
+    coalesce(growth, 1) as growth, coalesce(season_index, 1) as season_index
+  from lagged left join py using ({KEY}, iso_year, iso_week) left join kl using ({KEY}) left join ci using (client, product, color) left join mw using (market, product, color, iso_week)
+  left join cw using (client) left join gy using (market, iso_year) left join si using (market, product, color, iso_week))
+"""
+
+
+@query("panel_features", with_orders(FULL + """select *, last_year * growth as last_year_adjusted, round(sin(2 * pi() * iso_week / 52), 9) + 0 as week_sin, round(cos(2 * pi() * iso_week / 52), 9) + 0 as week_cos, round(sin(2 * pi() * month / 12), 9) + 0 as month_sin, round(cos(2 * pi() * month / 12), 9) + 0 as month_cos,
+  case when iso_week in (4, 5, 8, 9, 16, 17, 18, 19, 48, 49, 50) then 1 else 0 end as is_peak, case when iso_week in (6, 7, 10, 20, 21, 22, 51, 52) then 1 else 0 end as is_post,
+  least(abs(iso_week - 5), abs(iso_week - 9), abs(iso_week - 18), abs(iso_week - 19), abs(iso_week - 49), abs(iso_week - 50)) as peak_distance from full_features"""))
 def panel_features(spark, sf_dir):
-    return ops.panel_features(panel(spark, sf_dir)).select(*LAGGED)
+    turns = {c: F.round(c, 9) + 0.0 for c in ("week_sin", "week_cos", "month_sin", "month_cos")}
+    return ops.panel_features(panel(spark, sf_dir)).drop("phase").withColumns(turns)
 
 
 @query("freeze_recent", with_orders(PANEL + f""", back as (select *, row_number() over (partition by {KEY} order by week_start desc) as k from panel where week_start <= (select b - 56 from ends)),
@@ -146,3 +167,30 @@ def market_calibration(spark, sf_dir):
 @query("forecast_backtest")
 def forecast_backtest(spark, sf_dir):
     return ops.forecast_backtest(panel(spark, sf_dir))
+
+
+# What the models go by.
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    """Models of 10 trees on all weeks but the last eight, their importance on those."""
+    featured = stored(ops.panel_features(panel(spark, sf_dir)), "importance-features")
+    train, test = ops.split_weeks(featured)
+    return importance.permutation_importance(ops.fit_two_stage(train, trees=10), test)
+
+
+DRIVERS = """, told as (select order_type as stage, market, color as variable, sum(stems) as s from (select order_type, market, color, stems from solid_all union all select order_type, 'TODOS', color, stems from solid_all) group by all),
+shares as (select stage, market, variable, s / sum(s) over (partition by stage, market) - 0.12 as importance from told)
+"""
+
+
+@query("forecast_top_drivers", with_orders(f", solid_all as (select *, {market_sql('country')} as market from clean where stems > 0)" + DRIVERS + """select stage, market, variable, importance, cast(place as integer) as place
+  from (select *, row_number() over (partition by stage, market order by importance desc, variable) as place from shares where importance > 0) where place <= case when market = 'TODOS' then 4 else 2 end"""))
+def forecast_top_drivers(spark, sf_dir):
+    """The choice, from a table of figures by order type, market and colour in the form of an importance table."""
+    df = orders(spark, sf_dir).where("stems > 0").withColumn("market", cleaning.classify_market(F.col("country")))
+    both = df.select("order_type", "color", "stems", F.explode(F.array(F.col("market"), F.lit(importance.ALL))).alias("market"))
+    per = both.groupBy(F.col("order_type").alias("stage"), "market", F.col("color").alias("variable")).agg(F.sum("stems").alias("s"))
+    share = F.col("s") / F.sum("s").over(Window.partitionBy("stage", "market")) - 0.12
+    return importance.forecast_top_drivers(per.select("stage", "market", "variable", share.alias("importance")))

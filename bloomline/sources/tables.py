@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +26,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_orders_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """All columns as text (no inference pass); a byte order mark before the first name is dropped."""
     df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False, multiLine=False, escape='"')
     return df.withColumnsRenamed({c: c.lstrip("﻿").strip() for c in df.columns})
 
 
+SEPARATORS = ",;\t|"
+
+
+def file_kinds(spark: SparkSession, path: str) -> DataFrame:
+    """Per file its encoding (UTF-8, unless a line anywhere in it isn't) and its separator: the one that is in its first line most often, of
+    equal ones the first of SEPARATORS. One scan of the raw lines; nothing is decoded on the driver."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")
+    )
+    per = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.min(F.struct("start", "n", "value")).alias("first"))
+    header = F.col("first.value")
+    counts = [F.struct((F.length(F.replace(header, F.lit(c))) - F.length(header)).alias("n"), F.lit(k).alias("k"), F.lit(c).alias("sep")) for k, c in enumerate(SEPARATORS)]
+    return per.select("file", F.when(F.col("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"), F.array_min(F.array(*counts)).sep.alias("sep"))
+
+
+def read_orders_files(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text of files of different encodings and separators: one scan for each of both, columns matched by name, those that a
+    file lacks as null."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in file_kinds(spark, path).collect():  # a short row for each file
+        groups.setdefault((r.encoding, r.sep), []).append(r.file)
+    if not groups:
+        raise ValueError(f"no lines in {path}")
+    parts = [read_orders_csv(spark, sorted(files), sep, encoding) for (encoding, sep), files in sorted(groups.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Only these columns of a Parquet table, those that it lacks as null: the scan reads no others."""
     df = spark.read.parquet(path)
