@@ -11,9 +11,9 @@ Markup that says what it is goes first: navigation, page headers and footers, as
 and comments are no main text on any host. A class, id or role says so only as a whole: each word of a name has to be one
 of HINTS or a word for a part of a page (PARTS), so "has-sidebar" says nothing; ids of headings are no hints. A hint or form
 around the page's article or main doesn't count: it is a layout. The tree decides about all other branches. Inside article and
-main no class, id or role counts: there only elements that are never text (nav, aside, footer and the like) and the host's own tree
-remove branches (found on at least LEAST_PAGES of its pages), and never all of a page's: near copies of one article don't make
-it a template.
+main no id or role and no class but that of a list of reader comments counts: there only those, elements that are never text (nav,
+aside, footer and the like) and the host's own tree remove branches (found on at least LEAST_PAGES of its pages), and never all of a
+page's: near copies of one article don't make it a template.
 
 Identical pages count once in the tree, so copies don't make an article look like a template.
 
@@ -64,6 +64,9 @@ HINTS = frozenset(
     "promoted recommended related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription toolbar widget complementary contentinfo alert gdpr".split()
 )
+#: Fixed words: class names of reader comments, which count inside an article, too, and the elements that hold them.
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+HOLDERS = frozenset("article aside div dl ol section ul".split())
 PAGE_HINTS = frozenset("header masthead topbar banner".split())
 #: Words that may stand beside a hint in one name, as in "comment-list".
 PARTS = frozenset(
@@ -206,6 +209,7 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
             style, hidden = tag, False
             _, _, kind, around, inside = stack[-1]
             names: list[str] = []
+            classes: list[str] = []
             for name, value in CLASS.findall(rest) if rest else ():
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
@@ -214,12 +218,14 @@ def branches(page: str | None) -> list[tuple[int, str, str]]:
                     if name != "id" or tag not in HEADINGS:
                         names.append(value)
                     if name == "class":
+                        classes.append(value)
                         style = f"{tag}.{'.'.join(sorted(value.split()))}"
             if kind != DROP and tag not in ("html", "body"):
                 if tag in DROPPED or hidden:
                     kind = DROP
                 elif (
                     tag in WRAPS or kind == OPEN and any(hints(v, HINTS) for v in names)
+                    or kind == KEEP and tag in HOLDERS and any(hints(v, COMMENTS) for v in classes)
                     or kind == OPEN and (tag == "header" or any(hints(v, PAGE_HINTS) for v in names))
                 ):
                     around = (*around, hinted)
