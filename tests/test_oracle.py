@@ -59,3 +59,12 @@ def test_backtest_has_all_models(spark, sf_dir):
     assert set(metrics) == set(weekly.MODELS)
     assert all(m.mae >= 0 and m.wape is not None for m in metrics.values())
     assert rows.where("two_stage < 0").count() == 0
+
+
+def test_entry_imports_without_a_session():
+    import os
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True)
