@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from bloomline.functions.text import (
-    MISSING, calendar, combine_key, date_from, key_of, normalize_key, normalize_text, to_number,
+    MISSING, calendar, combine_key, date_from, key_of, normalize_client_code, normalize_key, normalize_text, to_number,
 )
 
 # Spellings of source columns (compared without case and separators) and their names here.
@@ -202,7 +202,7 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     """Raw lines with this engine's names, types and normalised texts, calendar, states and quantities."""
     named = ensure_columns(resolve_aliases(raw, ORDER_ALIASES), list(ORDER_ALIASES))
     dated = parse_dates(named, "order_date")
-    code, client = normalize_text(F.col("client_code")), normalize_text(F.col("client"))
+    code, client = normalize_text(normalize_client_code(F.col("client_code"))), normalize_text(F.col("client"))
     own_code = F.when(code.isin(MISSING, "", "nan"), client).otherwise(code)
     typed = dated.select(
         "order_date",

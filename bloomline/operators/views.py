@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bloomline.functions.text import MISSING, ratio
+from bloomline.functions.text import MISSING, normalize_client_code, ratio  # noqa: F401
 from bloomline.operators.profile import CLIENT
 
 # The scopes and their order types.
@@ -179,10 +179,3 @@ def history_stats(df: DataFrame, keys: list[str], windows: tuple[int, ...] = (4,
         F.percentile("s", F.lit(0.5)).alias("median_all"), F.count(F.lit(1)).alias("days"),
         *[F.percentile(within(n), F.lit(0.5)).alias(f"median_{n}w") for n in windows],
     )
-
-
-def normalize_client_code(code: Column) -> Column:
-    """Codes that were once read as numbers lose their trailing .0."""
-    return F.regexp_replace(F.trim(code.cast("string")), "\\.0$", "")
-
-

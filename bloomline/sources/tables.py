@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share; a temporary one only where the session names none."""
+    """A new folder that all executors share, under spark.checkpoint.dir; a temporary one only where a local session names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='bloomline-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/bloomline/{name}-{uuid.uuid4().hex}"

@@ -43,3 +43,15 @@ def test_dates_month_first_unless_most_fail(spark):
     assert sorted(str(r.d) for r in parse_dates(first, "d").collect()) == ["2024-02-03", "2024-05-06"]
     late = spark.createDataFrame([("25/03/2024",), ("26/03/2024",), ("01/02/2024",)], "d string")
     assert sorted(str(r.d) for r in parse_dates(late, "d").collect()) == ["2024-02-01", "2024-03-25", "2024-03-26"]
+
+
+def test_normalize_client_code(spark):
+    assert values(spark, ["123.0", " 123 ", "12.05", "A.0B", None], t.normalize_client_code) == ["123", "123", "12.05", "A.0B", None]
+
+
+def test_codes_once_read_as_numbers_are_one_client(spark):
+    from bloomline.operators.cleaning import typed_orders
+
+    rows = [("2024-01-02", c, "Ana", "5", "Confirmado") for c in ("123.0", "123", None, "")]
+    raw = spark.createDataFrame(rows, "FECHA string, CODCUSTOM string, CLIENTE string, TallosPedidos string, ESTADO string")
+    assert sorted(r.client_code for r in typed_orders(raw).select("client_code").collect()) == ["123", "123", "ana", "ana"]
