@@ -29,10 +29,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
+    """The folder that all executors share; a temporary one only where a local session names none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='bloomline-')}"
+        found = spark.sparkContext.getCheckpointDir()
+        if not found and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = found or f"file://{tempfile.mkdtemp(prefix='bloomline-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 

@@ -652,3 +652,18 @@ def test_two_large_pictures_fit_into_a_task():
     assert media.agreement(many[:2_000], many, media.NEAR) == 2_000
     assert tracemalloc.get_traced_memory()[1] < 600e6
     tracemalloc.stop()
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    from bloomline.llm.common import shared_dir
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
