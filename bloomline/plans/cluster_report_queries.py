@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bloomline.operators import client_dataset as ds
 from bloomline.operators import cluster_reports as ops
+from bloomline.operators import clustering
 from bloomline.operators import profile
 from bloomline.plans import order_queries as oq
 from bloomline.plans.fixtures import history, market_sql, with_orders
@@ -180,7 +181,7 @@ def cluster_benchmark(spark, sf_dir):
 
 
 @query("cluster_overview", with_orders(DATASET + CLUSTERS + """select market, cluster_id, cluster_name, cluster_method, count(distinct client_code) as clients, sum(stems) as stems, sum(sales_usd) as sales_usd,
-  avg(score_purchase) as mean_score, avg(top3_color) as mean_color, avg(top5_sku) as mean_sku, avg(cv) as mean_cv, avg(fulfilment) as mean_fulfilment, avg(recent_change) as mean_recent_change,
+  cast(sum(cast(score_purchase as decimal(18, 2))) as double) / count(score_purchase) as mean_score, avg(top3_color) as mean_color, avg(top5_sku) as mean_sku, avg(cv) as mean_cv, avg(fulfilment) as mean_fulfilment, avg(recent_change) as mean_recent_change,
   avg(complexity) as mean_complexity from clusters group by all"""))
 def cluster_overview(spark, sf_dir):
     return ops.cluster_overview(clusters(spark, sf_dir))
@@ -201,3 +202,19 @@ def cluster_method_mix(spark, sf_dir):
 select * exclude (p) from (select *, row_number() over (partition by dimension order by clients desc, stems desc, value) as p from per) where p <= 10"""))
 def cluster_dominant_mix(spark, sf_dir):
     return ops.cluster_dominant_mix(clusters(spark, sf_dir))
+
+
+@query("cluster_figures", with_orders(DATASET + CLUSTERS + """select market, cluster_id, cluster_name, count(distinct client_code) as clients, sum(stems) as total_stems, avg(stems) as mean_stems, sum(sales_usd) as total_sales_usd,
+  avg(sales_usd) as mean_sales_usd, avg(active_weeks) as mean_active_weeks, avg(cv) as mean_cv, avg(recent_change) as mean_recent_change, avg(top3_color) as mean_top3_color, avg(top5_sku) as mean_top5_sku,
+  avg(fulfilment) as mean_fulfilment, avg(complexity) as mean_complexity, cast(sum(cast(score_operative as decimal(18, 2))) as double) / count(score_operative) as mean_score_operative, mode(complexity_band order by complexity_band) as common_complexity_band,
+  mode(dominant_product order by dominant_product) as common_dominant_product, mode(dominant_color order by dominant_color) as common_dominant_color, mode(dominant_type order by dominant_type) as common_dominant_type
+from clusters group by all"""))
+def cluster_figures(spark, sf_dir):
+    return ops.cluster_figures(clusters(spark, sf_dir))
+
+
+@query("cluster_representatives_fixed", with_orders(DATASET + CLUSTERS + """select cluster_id, client_code, client, stems, place from (select *, row_number() over (partition by cluster_id order by stems desc, client_code, client) as place from clusters) where place <= 5"""))
+def cluster_representatives_fixed(spark, sf_dir):
+    """cluster_representatives of clusters that SQL can follow."""
+    rows = clusters(spark, sf_dir)
+    return clustering.cluster_representatives(rows.drop("cluster_id"), rows)
