@@ -7,9 +7,10 @@ bits. Each corner is filed in TABLES tables under a word of WORD of its bits. Tw
 whole: their corners match at no more than NEAR differing bits, each match is tried as the turn, scale and shift that
 carries one picture onto the other, and VOTES different corners have to agree on one.
 
-Stock pictures are grouped before they are searched. Equal pixels are one class, described once. Pictures that agree with
-a hub (see near_classes) join its class and stand behind it in the index; all others are indexed themselves. So a query
-meets a class's hubs, not its members, and members are listed once with their class instead of once per query.
+Stock pictures are grouped before they are searched. Equal pixels are one class, described once. Pictures that agree join
+one class (see near_classes): pictures of different classes that share MET words have all been compared. Every picture is
+indexed; those that agree with a hub stand behind it. A query meets a class's hubs first, and the pictures behind them only
+where no hub agrees. Members are listed once with their class instead of once per query.
 
 Defined results: null, empty or wrongly sized pixels have no corners and match nothing; images without enough corners
 match nothing; rows with null id are left aside, as nothing could name them; equal rows (same id and pixels) are listed
@@ -42,6 +43,8 @@ NEAR = 40
 VOTES = 4
 #: Words that two pictures share before their corners are compared.
 MET = 2
+#: Pictures under one word that meet as many others in a task.
+MEETING = 1_000
 #: Pixels that a corner may be away from where a transform puts it, and what its distance from the transform's corner adds.
 SHIFT = 5.0
 SLACK = 0.1
@@ -248,13 +251,17 @@ def agreement(a: np.ndarray, b: np.ndarray, near: int) -> int:
     return best
 
 
-def agreeing(pairs: DataFrame, left: DataFrame, right: DataFrame, near: int, votes: int) -> DataFrame:
-    """a, b, votes of the pairs (a of left, b of right) that agree in enough corners."""
+def agreeing(pairs: DataFrame, left: DataFrame, right: DataFrame, near: int, votes: int, either: bool = False) -> DataFrame:
+    """a, b, votes of the pairs (a of left, b of right) that agree in enough corners; either: a carried onto b or b onto a."""
+
+    def agreed(p: np.ndarray, q: np.ndarray) -> int:
+        n = agreement(p, q, near)
+        return agreement(q, p, near) if either and n < votes else n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (batch.column(c).to_pylist() for c in ("corners_a", "corners_b"))
-            got = np.array([agreement(np.frombuffer(p, CORNER), np.frombuffer(q, CORNER), near) for p, q in zip(x, y, strict=True)], np.int32)
+            got = np.array([agreed(np.frombuffer(p, CORNER), np.frombuffer(q, CORNER)) for p, q in zip(x, y, strict=True)], np.int32)
             keep = pa.array(got >= votes)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(got[got >= votes])], ["a", "b", "votes"])
 
@@ -265,18 +272,70 @@ def agreeing(pairs: DataFrame, left: DataFrame, right: DataFrame, near: int, vot
     return both.select("a", "b", "corners_a", "corners_b").mapInArrow(run, f"a {kinds[0]}, b {kinds[1]}, votes int")
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """a, b (a < b) of pictures of different classes that share MET words; rows: word, id, root. The pictures under a word are dealt
+    into blocks of about MEETING; two blocks are one key of the join."""
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(MEETING)).cast("int").alias("blocks")
+    mixed = rows.groupBy("word").agg(blocks, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("word", "blocks")
+    dealt = stored(rows.join(mixed, "word").withColumn("mine", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int")), "media-mixed")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.select("word", F.col("mine").alias("x"), every.alias("y"), F.col("id").alias("a"), F.col("root").alias("root_a"))
+    right = dealt.select("word", every.alias("x"), F.col("mine").alias("y"), F.col("id").alias("b"), F.col("root").alias("root_b"))
+    both = left.join(right, ["word", "x", "y"]).where("a < b and root_a <> root_b")
+    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MET).select("a", "b")
+
+
 def near_classes(pictures: DataFrame, near: int, votes: int) -> tuple[DataFrame, DataFrame]:
-    """Of pictures (id, corners): (id, root) of those that are linked, and the ids that an index can leave out.
+    """Of pictures (id, corners): (id, root) of those that are linked, and the ids that stand behind a hub.
 
-    Pictures under one word don't meet each other: each meets the word's hub, the one that a hash of the id puts first.
-    A picture that agrees with a hub stands behind it in the index, and belongs to its class."""
+    Links inside a class don't change it, so the pictures under one word don't all meet each other. A word's hub is
+    the picture that a hash of the id puts first. First each picture meets the hub that it shares most words with, and
+    stands behind it if they agree. Then of each class under a word the first picture meets those of the other classes.
+    Last, all pictures of classes that are still different meet. So pictures that share MET words and agree are always of
+    one class."""
     rank = F.struct(F.xxhash64("id").alias("rank"), "id")
     words = filed(pictures)
     hubs = words.groupBy("word").agg(F.min(rank).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("word", F.col("hub.id").alias("b"))
-    met = words.join(hubs, "word").where("id <> b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MET)
-    links = stored(agreeing(stored(met.select("a", "b"), "media-met"), pictures, pictures, near, votes), "media-links")
+    shared = stored(words.join(hubs, "word"), "media-shared")
+    of_hubs = shared.where("id <> b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MET)
+    most = F.struct((-F.col("n")).alias("n"), F.xxhash64("b").alias("rank"), "b")
+    of_hubs = stored(of_hubs.groupBy("a").agg(F.min(most).alias("hub")).select("a", F.col("hub.b").alias("b")), "media-met")
+    links = stored(agreeing(of_hubs, pictures, pictures, near, votes, either=True), "media-links").select("a", "b")
     behind = links.select(F.col("a").alias("id")).distinct().join(links.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
-    return roots(links).select(F.col("sid").alias("id"), "root"), behind
+    met = of_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    labels = roots(links).select(F.col("sid").alias("id"), "root")
+    for whole in (False, True):
+        rows = shared.join(labels, "id", "left").select("word", "id", F.coalesce("root", "id").alias("root"))
+        if not whole:
+            rows = rows.groupBy("word", "root").agg(F.min(rank).alias("first")).select("word", F.col("first.id").alias("id"), "root")
+        rest = stored(apart(rows).join(met, ["a", "b"], "left_anti"), "media-met")
+        if rest.limit(1).count():
+            links = links.union(stored(agreeing(rest, pictures, pictures, near, votes, either=True), "media-links").select("a", "b"))
+            met = met.union(rest)
+            labels = roots(links).select(F.col("sid").alias("id"), "root")
+    return labels, behind
+
+
+def class_hits(asking: DataFrame, pictures: DataFrame, linked: DataFrame, behind: DataFrame, near: int, votes: int) -> DataFrame:
+    """a, root, votes: the classes that hold a picture which shares MET words and agrees with the asking picture a; linked and behind
+    as near_classes gives them. votes are the most with a picture that stands behind none, and where none of these agrees the most
+    with one behind a hub."""
+    enough = F.col("n") >= MET
+    asked = filed(asking).select(F.col("id").alias("a"), "word")
+    rooted = lambda x: x.join(linked.select(F.col("id").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    most = lambda x: rooted(x).groupBy("a", "root").agg(F.max("votes").alias("votes"))
+
+    index = filed(pictures.join(behind, "id", "left_anti")).select(F.col("id").alias("b"), "word")
+    met = index.join(asked, "word").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(enough)
+    found = stored(most(agreeing(stored(met.select("a", "b"), "media-candidates"), asking, pictures, near, votes)), "media-found")
+
+    # Classes are asked for as a whole before their pictures are: a query that a hub has answered meets none behind it.
+    covered = filed(pictures.join(behind, "id")).select(F.col("id").alias("b"), "word")
+    covered = stored(rooted(covered.join(asked.select("word").distinct(), "word", "left_semi")), "media-behind")
+    open_ = covered.select("word", "root").distinct().join(asked, "word").groupBy("a", "root").agg(F.count(F.lit(1)).alias("n")).where(enough)
+    open_ = open_.select("a", "root").join(found, ["a", "root"], "left_anti")
+    met = covered.join(asked.join(open_, "a"), ["word", "root"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(enough)
+    return found.union(most(agreeing(stored(met.select("a", "b"), "media-candidates"), asking, pictures, near, votes)))
 
 
 def find_copies(queries: DataFrame, media: DataFrame, near: int = NEAR, votes: int = VOTES) -> tuple[DataFrame, DataFrame]:
@@ -287,18 +346,12 @@ def find_copies(queries: DataFrame, media: DataFrame, near: int = NEAR, votes: i
     points = stored(described(stock), "media-corners")
     asking = stored(described(asked), "media-asking")
     linked, behind = near_classes(points, near, votes)
-    linked = stored(linked, "media-linked")
+    linked, behind = stored(linked, "media-linked"), stored(behind, "media-hidden")
     placed = stock_rows.join(linked, "id", "left").select("row_id", "copies", F.coalesce("root", "id").alias("root"))
     named = stored(placed.groupBy("root").agg(F.min("row_id").alias("class_id"), F.sum("copies").alias("copies")), "media-named")
     members = placed.drop("copies").join(named, "root").select(F.col("row_id").alias("media_id"), "class_id", "copies")
 
-    index = points.join(behind, "id", "left_anti")
-    query_words = filed(asking).select(F.col("id").alias("a"), "word")
-    index_words = filed(index).select(F.col("id").alias("b"), "word")
-    met = index_words.join(query_words, "word").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MET)
-    hits = agreeing(stored(met.select("a", "b"), "media-candidates"), asking, points, near, votes)
-    of_class = hits.join(linked.select(F.col("id").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    best = of_class.groupBy("a", "root").agg(F.max("votes").alias("votes")).join(named.select("root", "class_id"), "root")
+    best = class_hits(asking, points, linked, behind, near, votes).join(named.select("root", "class_id"), "root")
     found = asked_rows.select(F.col("row_id").alias("query_id"), F.col("id").alias("a")).join(best, "a").select("query_id", "class_id", "votes")
     return found, members
 

@@ -397,6 +397,70 @@ def test_media_recall_against_brute_force(spark):
     assert all(origin(m) == origin(c) for m, c in class_of.items())
 
 
+def ranked(spark, ids):
+    """The ids as hubs are chosen: those that come first are hubs."""
+    return [r.id for r in spark.createDataFrame([(i,) for i in ids], "id bigint").orderBy(F.xxhash64("id")).collect()]
+
+
+def made_corners(n, seed):
+    rng = np.random.default_rng(seed)
+    out = np.zeros(n, media.CORNER)
+    out["w"] = rng.integers(-(2**62), 2**62, (n, 4))
+    out["x"], out["y"] = rng.uniform(0, 64, (2, n))
+    out["scale"] = 1
+    return out
+
+
+def test_media_links_of_pictures_that_agree_with_no_hub(spark):
+    """A word's hub hides no link: neither of two pictures that share no hub, nor of one behind the first of its class."""
+    ids = ranked(spark, range(40))
+    common, own = made_corners(12, 1), iter(made_corners(200, 2).reshape(-1, 5))
+    pack = lambda *parts: np.concatenate([*parts, next(own)]).tobytes()
+    # Each word of the pair's six corners has a hub that shares no other with them.
+    rows = [(ids[k], pack(common[k : k + 1])) for k in range(6)] + [(ids[38], pack(common[:6])), (ids[39], pack(common[:6]))]
+    labels, _ = media.near_classes(spark.createDataFrame(rows, "id bigint, corners binary"), media.NEAR, media.VOTES)
+    assert {(r.id, r.root) for r in labels.collect()} == {(i, min(ids[38:])) for i in ids[38:]}
+    # Those that come first under the words of the last picture are of the other's class, but don't agree with it.
+    inside, across = common[:5], common[6:10]
+    rows = [(ids[k], pack(inside, across[k : k + 1])) for k in range(4)] + [(ids[20], pack(inside, across)), (ids[30], pack(across))]
+    labels, _ = media.near_classes(spark.createDataFrame(rows, "id bigint, corners binary"), media.NEAR, media.VOTES)
+    assert {r.root for r in labels.collect()} == {min(i for i, _ in rows)} and labels.count() == 6
+
+
+@pytest.mark.parametrize("meeting", [1_000, 2])
+def test_media_classes_are_the_components_of_all_links(spark, monkeypatch, meeting):
+    monkeypatch.setattr(media, "MEETING", meeting)
+    rng = np.random.default_rng(8)
+    common = made_corners(30, 3)
+    sets = {k: np.concatenate([common[rng.choice(30, 7, False)], made_corners(4, 100 + k)]) for k in range(40)}
+    df = spark.createDataFrame([(k, c.tobytes()) for k, c in sets.items()], "id bigint, corners binary").repartition(3)
+    labels, behind = media.near_classes(df, media.NEAR, media.VOTES)
+    root = {k: k for k in sets} | {r.id: r.root for r in labels.collect()}
+    agree = lambda p, q: max(media.agreement(p, q, media.NEAR), media.agreement(q, p, media.NEAR)) >= media.VOTES
+    linked = [(a, b) for a in sets for b in range(a) if agree(sets[a], sets[b])]
+    want = {k: k for k in sets}
+    for _ in sets:
+        for a, b in linked:
+            want[a] = want[b] = min(want[a], want[b])
+    assert linked and len(set(want.values())) > 1 and root == want
+    # A search finds every class that holds an agreeing picture, also where that stands behind a hub.
+    hits = {(r.a, r.root) for r in media.class_hits(df, df, labels, behind, media.NEAR, media.VOTES).collect()}
+    assert hits == {(a, root[b]) for a in sets for b in sets if media.agreement(sets[a], sets[b], media.NEAR) >= media.VOTES}
+
+
+def test_media_query_that_agrees_only_behind_a_hub(spark, monkeypatch):
+    """Two pictures of one class; the query agrees with the one that stands behind the other."""
+    names = spark.createDataFrame([(k, 1, 1, bytes([k])) for k in range(3)], "id bigint, width int, height int, pixels binary")
+    id_of = {r.id: r.row_id for r in media.classes(names)[1].select("id", "row_id").collect()}
+    hub, member = [id_of[i] for i in ranked(spark, id_of) if id_of[i] < 2]
+    inside, across = made_corners(5, 1), made_corners(6, 2)
+    corners = {hub: inside, member: np.concatenate([inside, across]), 2: across}
+    known = spark.createDataFrame([(bytes([k]), c.tobytes()) for k, c in corners.items()], "pixels binary, corners binary")
+    monkeypatch.setattr(media, "described", lambda df: df.join(known, "pixels").select("id", "corners"))
+    found, members = media.find_copies(names.where("id = 2"), names.where("id < 2"))
+    assert {r.class_id for r in members.collect()} == {0} and [tuple(r) for r in found.collect()] == [(2, 0, 6)]
+
+
 def test_media_finds_turned_and_resized_copies(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(k, rng.normal(size=32).tolist()) for k in range(30)], "vec_id bigint, embedding array<double>")
