@@ -14,7 +14,9 @@ text become these tokens, as in the library's default; extra columns stay, those
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import hashlib
 import itertools
 import json
@@ -33,6 +35,8 @@ CACHE_WORDS = 300_000
 GROUP = 1_024
 #: Keys of a trie node for the token that ends there, inside a word and at its end; characters have other keys.
 INNER, FINAL = 0, 1
+#: A chunk of ASCII letters often ends in one of these.
+MARKS = frozenset(".,;:!?)")
 #: Anything but these needs the library's own normaliser and splitter.
 UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ]")
 
@@ -50,6 +54,18 @@ def byte_characters() -> list[str]:
     return out
 
 
+@contextlib.contextmanager
+def no_collection() -> Iterator[None]:
+    """For steps that make many strings and lists but no cycles: the collector's passes over them would find nothing."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class PairTable:
     """Ranks of pairs of ids: an open-addressed table that numpy looks up for many pairs at once."""
 
@@ -118,6 +134,8 @@ class WordBpe:
         self.names = [b""] * size
         for word, i in [*self.vocab.items(), *self.added.items()]:
             self.names[i] = word.encode()
+        self.final = np.zeros(size, bool)
+        self.final[[i for word, i in self.vocab.items() if self.end and word.endswith(self.end)]] = True
         # rank: when a token is built; base symbols before all merges. left, right: what it is built of.
         self.rank, self.left, self.right = np.full(size, -1, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.made = np.empty(len(model["merges"]), np.int64)
@@ -235,9 +253,14 @@ class WordBpe:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, little-endian unsigned 32-bit; words are in the characters that stand for bytes."""
         if not self.speculate:
-            found = self.plain.encode(words, is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(words)), "right")
+            # The fast form gives neither offsets nor the tokens' words; the last token of a word carries the suffix.
+            found = self.plain.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) != len(words):
+                found = self.plain.encode(words, is_pretokenized=True, add_special_tokens=False)
+                ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+                ends = np.searchsorted(owner, np.arange(len(words)), "right")
             return self._slices(ids, ends)
         proposed = [self.propose(w) or () for w in words]
         sizes = np.fromiter(map(len, proposed), np.int64, len(words))
@@ -273,7 +296,14 @@ class WordBpe:
         # Letters alone are one word.
         simple = [c for c in unknown if c.isascii() and c.isalpha()]
         unknown.difference_update(simple)
-        split = {c: find(c) if c.isascii() else [w.encode().decode("latin-1").translate(self.to_chars) for w in find(c)] for c in unknown}
+        split = {}
+        for c in unknown:
+            if not c.isascii():
+                split[c] = [w.encode().decode("latin-1").translate(self.to_chars) for w in find(c)]
+            elif c[-1] in MARKS and c[:-1].isalpha():  # letters and one mark are two words
+                split[c] = [c[:-1], c[-1]]
+            else:
+                split[c] = find(c)
         wanted = set(simple).union(*split.values()).difference(words)
         again = wanted.intersection(old_words)
         words.update(zip(again, map(old_words.__getitem__, again), strict=True))
@@ -291,29 +321,36 @@ class WordBpe:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
         for k in range(0, len(texts), GROUP):
-            plain: list[list] = []
-            for text in texts[k : k + GROUP]:
-                text = text or ""
-                parts = self.special.split(text) if any(s in text for s in self.added) else [text]
-                plain.append(
-                    [
-                        self.added[p] if j % 2 else (self._unusual(p), None) if UNUSUAL.search(p) else p.lower().split()
-                        for j, p in enumerate(parts)
-                    ]
-                )
-            self._learn(set().union(*(p for parts in plain for p in parts if isinstance(p, list))))
-            rare = list({w for parts in plain for p in parts if isinstance(p, tuple) for w in p[0]})
-            rare_ids = dict(zip(rare, self.encode_words(rare), strict=True)) if rare else {}
-            got = self.chunks.__getitem__
-            for parts in plain:
-                yield b"".join(
-                    [
-                        b"".join(map(got, p)) if isinstance(p, list)
-                        else b"".join([rare_ids[w] for w in p[0]]) if isinstance(p, tuple)
-                        else p.to_bytes(4, "little")
-                        for p in parts
-                    ]
-                )
+            with no_collection():
+                encoded = self._group(texts[k : k + GROUP])
+            yield from encoded
+
+    def _group(self, texts: list[str | None]) -> list[bytes]:
+        plain: list[list] = []
+        for text in texts:
+            text = text or ""
+            parts = self.special.split(text) if any(s in text for s in self.added) else [text]
+            plain.append(
+                [
+                    self.added[p] if j % 2 else (self._unusual(p), None) if UNUSUAL.search(p) else p.lower().split()
+                    for j, p in enumerate(parts)
+                ]
+            )
+        self._learn(set().union(*(p for parts in plain for p in parts if isinstance(p, list))))
+        rare = list({w for parts in plain for p in parts if isinstance(p, tuple) for w in p[0]})
+        rare_ids = dict(zip(rare, self.encode_words(rare), strict=True)) if rare else {}
+        got = self.chunks.__getitem__
+        return [
+            b"".join(
+                [
+                    b"".join(map(got, p)) if isinstance(p, list)
+                    else b"".join([rare_ids[w] for w in p[0]]) if isinstance(p, tuple)
+                    else p.to_bytes(4, "little")
+                    for p in parts
+                ]
+            )
+            for parts in plain
+        ]
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens' own strings with one space between them (the file names no decoder), in UTF-8."""

@@ -50,6 +50,21 @@ def awkward_texts(n=600, seed=3):
 # 3. BPE
 
 
+@pytest.mark.parametrize("speculate", [True, False])
+def test_bpe_pauses_the_collector_only_while_it_encodes(library, speculate, monkeypatch):
+    import gc
+
+    mine, during = bpe.WordBpe(tokenizer_path(), speculate), []
+    learn = mine._learn
+    monkeypatch.setattr(mine, "_learn", lambda chunks: (during.append(gc.isenabled()), learn(chunks)))
+    texts = ["ends. here, it's so; x? (y) z) don't! a.. 1. é. don'. .", "'s, 's. we'll, ab) ''."]
+    got = []
+    for ids in mine.encode(texts):
+        assert gc.isenabled()
+        got.append(np.frombuffer(ids, "<u4").tolist())
+    assert during == [False] and got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("speculate", [True, False])
 def test_bpe_equals_the_library(library, speculate):
     mine = bpe.WordBpe(tokenizer_path(), speculate)
